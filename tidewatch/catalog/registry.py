@@ -26,11 +26,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _nudge(places: int) -> float:
+    """Added before rounding: means of two-decimal values often lie exactly between two roundings."""
+    return 3.1e-3 * 10.0**-places
+
+
 def rounded(df: DataFrame, keep: list[str], places: int = 4) -> DataFrame:
     """`keep` as they are, every DOUBLE rounded, so that summation order does not show."""
     types = dict(df.dtypes)
     cells = [
-        F.round(c, places).alias(c) if types[c] == "double" and c not in keep else F.col(c)
+        F.round(F.col(c) + F.lit(_nudge(places)), places).alias(c)
+        if types[c] == "double" and c not in keep
+        else F.col(c)
         for c in df.columns
     ]
     return df.select(*cells)
@@ -38,4 +45,4 @@ def rounded(df: DataFrame, keep: list[str], places: int = 4) -> DataFrame:
 
 def r(sql: str, name: str, places: int = 4) -> str:
     """The same rounding in the oracle; + 0.0 turns a negative zero into zero."""
-    return f"round({sql}, {places}) + 0.0 AS {name}"
+    return f"round(({sql}) + {_nudge(places)!r}::DOUBLE, {places}) + 0.0 AS {name}"
