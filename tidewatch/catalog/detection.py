@@ -359,7 +359,8 @@ def uniform(spark, sf):
     return df.select("event_id", hash_uniform(F.col("event_id").cast("string"), 7).alias("u"))
 
 
-@query("time_split", f"SELECT event_id, epoch_us(ts) > quantile_cont(epoch_us(ts)::DOUBLE, 0.7) OVER (PARTITION BY event_type) AS test FROM ({LONG_SQL})")
+@query("time_split", f"""SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)
+  > floor(count(*) OVER (PARTITION BY event_type) * 0.7::DOUBLE) AS test FROM ({LONG_SQL})""")
 def by_time(spark, sf):
     train, test = evaluate.time_split(long_series(spark, sf))
     return train.select("event_id", F.lit(False).alias("test")).unionByName(test.select("event_id", F.lit(True).alias("test")))

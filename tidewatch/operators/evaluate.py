@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.hashing import hash_uniform
 from tidewatch.functions.scores import f1, f1_of, precision, ratio, recall, rescaled
-from tidewatch.plans.ordered import exact_quantile, running_totals
+from tidewatch.plans.ordered import running_totals
 from tidewatch.plans.series import BLOCK_ROWS, Series
 
 SWEEP_POINTS = 100
@@ -319,12 +319,11 @@ def time_split(
     series: Series, test_share: float = 0.3
 ) -> tuple[DataFrame, DataFrame]:
     """The newest share of each series is the test set, so no window reaches across the cut."""
-    df = series.df.withColumn("_micros", F.unix_micros(series.ts))
-    cut = exact_quantile(df, "_micros", 1.0 - test_share, series.keys, "_cut")
-    rows = series.attach(df, cut)
-    late = F.col("_micros") > F.col("_cut")
-    extra = ("_micros", "_cut")
-    return rows.filter(~late).drop(*extra), rows.filter(late).drop(*extra)
+    counts = series.df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = series.transform_rows(lambda df, frames: df.withColumn("_at", frames.position()))
+    rows = series.attach(rows, counts)
+    late = F.col("_at") > F.floor(F.col("_n") * (1.0 - test_share))
+    return rows.filter(~late).drop("_at", "_n"), rows.filter(late).drop("_at", "_n")
 
 
 def evaluate_model(

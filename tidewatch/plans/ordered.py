@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.plans.layout import BLOCK, arrange, small_side
 from tidewatch.plans.series import BLOCK_ROWS, Series
+from tidewatch.session import pinned
 
 
 def running_totals(
@@ -62,11 +63,14 @@ def exact_quantile(
     known = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
     if not keys:
         known = known.withColumn("_all", F.lit(0))
-    counts = known.groupBy(*group, F.col(column).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("n")
+    # Read several times below; the input, which may be a model's scores, is read once.
+    counts = pinned(
+        known.groupBy(*group, F.col(column).cast("double").alias("_v")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
     )
     ranked = running_totals(counts, group, "_v", ["n"], block_rows)
-    sizes = known.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_size"))
     at = (F.col("_size") - 1) * F.lit(float(q))
     rows = ranked.join(sizes, group).withColumn("_at", at)
     # A value with running count c covers ranks c - n .. c - 1.
