@@ -124,9 +124,11 @@ def _forest(trees: int = 100, depth: int = FOREST_DEPTH, seed: int = 42) -> Rand
 
 
 def _boosting(rounds: int = 100, rate: float = 0.1, depth: int = 3, seed: int = 42) -> GBTClassifier:
-    return GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, weightCol="_weight", **_NAMES
+    boosting = GBTClassifier(
+        featuresCol="_x", labelCol="_label", predictionCol="_prediction", weightCol="_weight",
+        maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed,
     )
+    return boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw")
 
 
 def fit_random_forest(

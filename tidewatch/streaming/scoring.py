@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import is_reconstruction
@@ -75,30 +76,32 @@ class StreamScorer:
     def _path(self, table: str, batch: int) -> str:
         return f"{self.folder}/{table}/batch={batch}"
 
+    def _previous(self, spark: SparkSession, table: str, batch: int) -> DataFrame | None:
+        """What the batch before left, if it left anything."""
+        if batch == 0:
+            return None
+        try:
+            return spark.read.parquet(self._path(table, batch - 1))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
     def _carry(self, windows: DataFrame, batch: int) -> None:
         """An empty batch hands on what the previous one left."""
-        spark = windows.sparkSession
-        if batch > 0:
-            for table in ("recent", "thresholds"):
-                self._write(spark.read.parquet(self._path(table, batch - 1)), table, batch)
-        else:
-            self._write(ensemble.threshold_table(spark, thresholds_of(self.models)), "thresholds", batch)
+        for table in ("recent", "thresholds"):
+            left = self._previous(windows.sparkSession, table, batch)
+            if left is not None:
+                self._write(left, table, batch)
 
     def _remember(self, features: DataFrame, batch: int) -> DataFrame:
         """Newest rows of every series; windows overlap, so a row is kept once, from its newest window."""
         s, spark = self.series, features.sparkSession
         latest = F.max_by(F.struct(*[c for c in features.columns if c not in s.identity]), "window")
         once = features.groupBy(*s.identity).agg(latest.alias("_f")).select(*s.identity, "_f.*")
-        stored = once.limit(0)
-        if batch > 0:
-            try:
-                stored = spark.read.parquet(self._path("recent", batch - 1))
-            except Exception as e:  # first batches may have been empty
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-        known = stored.join(once.select(*s.identity), s.identity, "left_anti")
-        kept = append_recent(s.with_df(known), once, CALIBRATION_ROWS)
-        self._write(kept, "recent", batch)
+        stored = self._previous(spark, "recent", batch)
+        known = once.limit(0) if stored is None else stored.join(once.select(*s.identity), s.identity, "left_anti")
+        self._write(append_recent(s.with_df(known), once, CALIBRATION_ROWS), "recent", batch)
         return spark.read.parquet(self._path("recent", batch))
 
     def _scored(self, rows: Series, features: DataFrame, recent: DataFrame, batch: int):
@@ -109,8 +112,9 @@ class StreamScorer:
             return out.withColumn("confidence", F.lit(None).cast("double")), "threshold_detector"
         spark = features.sparkSession
         thresholds = thresholds_of(self.models)
-        if batch > 0:
-            thresholds |= ensemble.read_thresholds(spark.read.parquet(self._path("thresholds", batch - 1)))
+        left = self._previous(spark, "thresholds", batch)
+        if left is not None:
+            thresholds |= ensemble.read_thresholds(left)
         for name, value in thresholds.items():
             self.models[name].threshold = value
         scored = predict(self.models, features)
