@@ -217,7 +217,15 @@ def sliding(spark, sf):
 
 @query("session_windows", _SESSIONS)
 def sessions(spark, sf):
-    return _dated(windows.session_windows(long_series(spark, sf).df, "ts", "30 minutes", _stats(), ["event_type"]))
+    df = long_series(spark, sf).df
+    return _dated(windows.session_windows(df, "ts", "30 minutes", _stats(), ["event_type"], tie="event_id"))
+
+
+@query("session_windows_in_blocks", _SESSIONS)
+def sessions_in_blocks(spark, sf):
+    df = long_series(spark, sf).df
+    out = windows.session_windows(df, "ts", "30 minutes", _stats(), ["event_type"], tie="event_id", block_rows=300)
+    return _dated(out)
 
 
 @query("stream_tumbling_windows", _TUMBLING)

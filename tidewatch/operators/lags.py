@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.neighbours import with_neighbours
+from tidewatch.plans.doubling import extended
 from tidewatch.plans.layout import Frames
 from tidewatch.plans.series import Series
 
@@ -29,27 +30,27 @@ def lag_plan(
 ) -> DataFrame:
     """`filled` names, per column, the gap-free companion that the rate of change is taken on."""
     filled = filled or {}
-    rows = frames.rows()
+    over = frames.sql()
     kept = df.columns
-    over = {}
+    cells = {}
     for c in columns:
         for k in lags:
-            over[f"_lag_{c}_{k}"] = F.lag(c, k).over(rows)
+            cells[f"_lag_{c}_{k}"] = f"lag(`{c}`, {k}) OVER {over}"
             if "pct_change" in kinds and c in filled:
-                over[f"_base_{c}_{k}"] = F.lag(filled[c], k).over(rows)
-    df = df.withColumns(over)
+                cells[f"_base_{c}_{k}"] = f"lag(`{filled[c]}`, {k}) OVER {over}"
+    df = extended(df, cells)
     out = []
     for c in columns:
         for k in lags:
-            past = F.col(f"_lag_{c}_{k}")
+            past = f"`_lag_{c}_{k}`"
             if "lag" in kinds:
-                out.append(past.alias(lag_name(c, "lag", k)))
+                out.append(f"{past} AS `{lag_name(c, 'lag', k)}`")
             if "pct_change" in kinds:
-                now, base = F.col(filled.get(c, c)), F.col(f"_base_{c}_{k}") if c in filled else past
-                out.append((F.try_divide(now, base) - 1).alias(lag_name(c, "pct_change", k)))
+                now, base = f"`{filled.get(c, c)}`", f"`_base_{c}_{k}`" if c in filled else past
+                out.append(f"try_divide({now}, {base}) - 1 AS `{lag_name(c, 'pct_change', k)}`")
             if "diff" in kinds:
-                out.append((F.col(c) - past).alias(lag_name(c, "diff", k)))
-    return df.select(*[x for x in kept if x not in filled.values()], *out)
+                out.append(f"`{c}` - {past} AS `{lag_name(c, 'diff', k)}`")
+    return df.selectExpr(*[f"`{x}`" for x in kept if x not in filled.values()], *out)
 
 
 def lags(
@@ -75,7 +76,7 @@ def with_forward_filled(series: Series, columns: list[str]) -> tuple[Series, dic
     """Add `_ffill_<column>` beside each column: the newest value so far."""
     names = {c: f"_ffill_{c}" for c in columns}
     original = list(series.df.columns)
-    df = with_neighbours(series, columns, following=False, positions=False)
+    df = with_neighbours(series, columns, following=False)
     df = df.select(
         *original,
         *[F.coalesce(F.col(c), F.col(f"_prev_{c}.v")).alias(names[c]) for c in columns],

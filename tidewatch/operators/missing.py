@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.neighbours import POSITION, with_neighbours
@@ -13,36 +13,37 @@ from tidewatch.plans.series import Series, numeric_columns
 METHODS = ("interpolate", "ffill", "bfill", "zero", "drop")
 
 
-def _interpolated(c: str, limit: int | None, ends: bool) -> Column:
-    """Closed form of linear interpolation by position with a reach of `limit` rows.
+def _interpolated(c: str, limit: int | None, ends: bool) -> str:
+    """Closed form of linear interpolation by position with a reach of `limit` rows, as SQL text.
 
     Rows further into a gap than `limit` repeat the last interpolated value. With `ends`, a leading gap takes
     the first value; without, it stays missing.
     """
-    pos, prev, nxt = F.col(POSITION), F.col(f"_prev_{c}"), F.col(f"_next_{c}")
-    step = pos - prev["p"]
-    reach = step if limit is None else F.least(step, F.lit(limit).cast("bigint"))
-    inside = prev["v"] + (nxt["v"] - prev["v"]) * reach / (nxt["p"] - prev["p"])
-    filled = F.when(prev.isNotNull() & nxt.isNotNull(), inside).when(prev.isNotNull(), prev["v"])
-    if ends:
-        filled = filled.otherwise(nxt["v"])
-    return F.coalesce(F.col(c), filled)
-
-
-def _carried(c: str, limit: int | None, forward: bool) -> Column:
-    pos = F.col(POSITION)
-    near, far = (f"_prev_{c}", f"_next_{c}") if forward else (f"_next_{c}", f"_prev_{c}")
-    near, far = F.col(near), F.col(far)
+    p, n = f"`_prev_{c}`", f"`_next_{c}`"
+    step = f"({POSITION} - {p}.p)"
+    reach = step if limit is None else f"least({step}, {int(limit)})"
+    lead = f"{n}.v" if ends else "NULL"
+    return (
+        f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` "
+        f"WHEN {p} IS NOT NULL AND {n} IS NOT NULL THEN {p}.v + ({n}.v - {p}.v) * {reach} / ({n}.p - {p}.p) "
+        f"WHEN {p} IS NOT NULL THEN {p}.v ELSE {lead} END"
+    )
+
+
+def _carried(c: str, limit: int | None, forward: bool) -> str:
+    near, far = (f"`_prev_{c}`", f"`_next_{c}`") if forward else (f"`_next_{c}`", f"`_prev_{c}`")
     if limit is None:
-        return F.coalesce(near["v"], far["v"])
-    return F.coalesce(F.when(F.abs(pos - near["p"]) <= limit, near["v"]), far["v"])
+        return f"coalesce({near}.v, {far}.v)"
+    return f"coalesce(CASE WHEN abs({POSITION} - {near}.p) <= {int(limit)} THEN {near}.v END, {far}.v)"
 
 
 def _filled(series: Series, columns: Iterable[str] | None, fill) -> DataFrame:
-    cols = series.columns(columns)
+    cols = set(series.columns(columns))
     names = series.df.columns
-    df = with_neighbours(series, cols)
-    return df.select(*[fill(c).alias(c) if c in cols else F.col(c) for c in names])
+    if not cols:
+        return series.df
+    df = with_neighbours(series, [c for c in names if c in cols])
+    return df.selectExpr(*[f"{fill(c)} AS `{c}`" if c in cols else f"`{c}`" for c in names])
 
 
 def interpolate(

@@ -2,43 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.plans.doubling import extended
 from tidewatch.plans.layout import BLOCK, Frames, arrange, small_side
 from tidewatch.plans.series import Series
 
 POSITION = "_pos"
-
-
-def _known(column: str) -> Column:
-    """(position, value) where the value is there, else NULL."""
-    return F.when(
-        F.col(column).isNotNull(), F.struct(F.col(POSITION).alias("p"), F.col(column).alias("v"))
-    )
+_RUNNING = "UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def with_neighbours(
-    series: Series, columns: list[str], following: bool = True, positions: bool = True
+    series: Series, columns: list[str], following: bool = True
 ) -> DataFrame:
     """Adds `_prev_<c>` and `_next_<c>`, structs (p, v) of the nearest known row, and the row's `_pos`.
 
-    Within one window partition this is the last value ignoring NULLs, in either direction. A series in blocks also needs what
-    lies beyond its block: each block's first and last known rows form a table of one row per block, the
-    nearest ones of other blocks are found on that table and joined back.
+    Within one window partition this is the last value ignoring NULLs, in either direction; the backward look
+    is a running frame over the reversed order, because a frame that is open towards the end would be
+    evaluated anew for each row. A series in blocks also needs what lies beyond its block: each block's first and
+    last known rows form a table of one row per block, the nearest ones of other blocks are found on that
+    table and joined back.
     """
     rows, frames = arrange(series)
     df = rows.withColumn(POSITION, frames.position())
-    df = df.withColumns({f"_known_{c}": _known(c) for c in columns})
-    over = {
-        f"_prev_{c}": F.last(f"_known_{c}", ignorenulls=True).over(frames.so_far()) for c in columns
-    }
-    if following:
-        over |= {
-            f"_next_{c}": F.last(f"_known_{c}", ignorenulls=True).over(frames.from_end())
+    df = extended(
+        df,
+        {
+            f"_known_{c}": f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('p', {POSITION}, 'v', `{c}`) END"
             for c in columns
-        }
-    local = df.withColumns(over)
+        },
+    )
+    before, after = frames.sql(rows=_RUNNING), frames.sql(descending=True, rows=_RUNNING)
+    over = {f"_prev_{c}": f"last(`_known_{c}`, true) OVER {before}" for c in columns}
+    if following:
+        over |= {f"_next_{c}": f"last(`_known_{c}`, true) OVER {after}" for c in columns}
+    local = extended(df, over)
     if frames.blocked:
         local = _beyond_blocks(df, local, frames, series, columns, following)
     return frames.strip(local.drop(*[f"_known_{c}" for c in columns]))

@@ -40,7 +40,7 @@ def sorted_windows(
     of it. Sorting puts NaN last, so the last element tells whether a window is complete.
     """
     longest = max(windows)
-    frame = f"{frames.sql()[:-1]} ROWS BETWEEN {longest - 1} PRECEDING AND CURRENT ROW)"
+    frame = frames.sql(rows=f"{longest - 1} PRECEDING AND CURRENT ROW")
     df = extended(
         df,
         {f"_ring_{c}": f"collect_list(coalesce(`{c}`, double('NaN'))) OVER {frame}" for c in columns},

@@ -30,12 +30,14 @@ class Scaler:
         return list(self.parameters)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        cells = {
-            c: (F.col(c) - F.lit(centre)) / F.lit(spread)
-            for c, (centre, spread) in self.parameters.items()
-            if c in df.columns
-        }
-        return df.withColumns(cells)
+        cells = []
+        for c in df.columns:
+            if c in self.parameters:
+                centre, spread = self.parameters[c]
+                cells.append(f"(`{c}` - {float(centre)!r}D) / {float(spread)!r}D AS `{c}`")
+            else:
+                cells.append(f"`{c}`")
+        return df.selectExpr(*cells)
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(self.method, c, i, a, b) for i, (c, (a, b)) in enumerate(self.parameters.items())]
@@ -49,11 +51,10 @@ class Scaler:
         return Scaler(rows[0]["method"], {r["column"]: (r["centre"], r["spread"]) for r in rows})
 
 
-def _centre_and_spread(method: str, c: str):
+def _centre_and_spread(method: str, c: str) -> tuple[str, str]:
     if method == "standard":
-        # Deviation below rounding noise of the mean counts as none.
-        return F.avg(c), F.stddev_pop(c)
-    return F.min(c), F.max(c) - F.min(c)
+        return f"avg(`{c}`)", f"stddev_pop(`{c}`)"
+    return f"min(`{c}`)", f"max(`{c}`) - min(`{c}`)"
 
 
 def _checked(method: str) -> str:
@@ -69,8 +70,8 @@ def fit_scaler(df: DataFrame, columns: Iterable[str] | None = None, method: str
     cells = []
     for i, c in enumerate(cols):
         centre, spread = _centre_and_spread(method, c)
-        cells += [centre.cast("double").alias(f"c{i}"), spread.cast("double").alias(f"s{i}")]
-    row = df.agg(*cells).first()
+        cells += [f"CAST({centre} AS DOUBLE) AS c{i}", f"CAST({spread} AS DOUBLE) AS s{i}"]
+    row = df.selectExpr(*cells).first()
     return Scaler(
         method,
         {
@@ -93,8 +94,10 @@ def scale_by_series(series, columns: Iterable[str] | None = None, method: str =
     cells = []
     for c in cols:
         centre, spread = _centre_and_spread(method, c)
-        spread = F.when(spread != 0, spread).otherwise(F.lit(1.0))
-        cells += [centre.alias(f"_centre_{c}"), spread.alias(f"_spread_{c}")]
+        cells += [
+            F.expr(centre).alias(f"_centre_{c}"),
+            F.expr(f"coalesce(nullif({spread}, 0), 1D)").alias(f"_spread_{c}"),
+        ]
     table = series.df.groupBy(*series.keys).agg(*cells)
     out = series.attach(series.df, table)
     scaled = {c: (F.col(c) - F.col(f"_centre_{c}")) / F.col(f"_spread_{c}") for c in cols}

@@ -46,11 +46,12 @@ class Frames:
         cols = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
         return Window.partitionBy(*self.group).orderBy(*cols)
 
-    def sql(self) -> str:
-        """The ordered window as SQL text."""
+    def sql(self, descending: bool = False, rows: str = "") -> str:
+        """The ordered window as SQL text; `rows` is the frame after ROWS BETWEEN."""
         part = ", ".join(f"`{c}`" for c in self.group)
-        order = ", ".join(f"`{c}`" for c in self.order)
-        return f"(PARTITION BY {part} ORDER BY {order})"
+        order = ", ".join(f"`{c}`{' DESC' if descending else ''}" for c in self.order)
+        frame = f" ROWS BETWEEN {rows}" if rows else ""
+        return f"(PARTITION BY {part} ORDER BY {order}{frame})"
 
     def last(self, n: int) -> WindowSpec:
         return self.rows().rowsBetween(-(n - 1), 0)
@@ -61,13 +62,6 @@ class Frames:
     def so_far(self) -> WindowSpec:
         return self.rows().rowsBetween(Window.unboundedPreceding, 0)
 
-    def from_end(self) -> WindowSpec:
-        """Everything from this row on, as a running frame over the reversed order.
-
-        A frame that is open towards the end is evaluated anew for each row; a reversed running one is not.
-        """
-        return self.rows(descending=True).rowsBetween(Window.unboundedPreceding, 0)
-
     def position(self) -> Column:
         """1-based row number within the whole series."""
         here = F.row_number().over(self.rows()).cast("bigint")

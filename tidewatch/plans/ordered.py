@@ -18,14 +18,15 @@ def running_totals(
     order: str,
     measures: Iterable[str],
     block_rows: int = BLOCK_ROWS,
+    tie: str | None = None,
 ) -> DataFrame:
     """Adds cum_{m} for every measure: its sum over rows of the group up to and including this one.
 
-    Rows must be distinct in (keys, order). Groups that fit a task use a plain running window; longer ones are
+    Rows must be distinct in (keys, order, tie). Groups that fit a task use a plain running window; longer ones are
     cut into ordered blocks, and each block starts from the totals of the blocks before it.
     """
     keys, measures = list(keys), list(measures)
-    series = Series(df, tuple(keys), order, None, tuple(measures), block_rows)
+    series = Series(df, tuple(keys), order, tie, tuple(measures), block_rows)
     rows, frames = arrange(series)
     over = {f"cum_{m}": F.sum(m).over(frames.so_far()) for m in measures}
     out = rows.withColumns(over)

@@ -83,7 +83,10 @@ def full_features(
     out = series.attach(series.attach(out, spectra), waves)
     numbers = [c for c in out.columns if c not in series.identity]
     if fill:
-        out = handle_missing(series.with_df(out, numbers), "interpolate", columns=[c for c in numbers if c not in CALENDAR_COLUMNS])
+        # Calendar and per-series columns have no gaps to fill within a series.
+        whole = {*CALENDAR_COLUMNS, *spectra.columns, *waves.columns}
+        gappy = [c for c in numbers if c not in whole]
+        out = handle_missing(series.with_df(out, numbers), "interpolate", columns=gappy)
     if scale:
         out = scale_columns(out, numbers)
     ordered = [c for c in numbers if c not in seasonal] + seasonal

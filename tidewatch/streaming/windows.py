@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.plans.layout import Frames
-from tidewatch.plans.series import Series
+from tidewatch.plans.ordered import running_totals
+from tidewatch.plans.series import BLOCK_ROWS, Series, load_series
 from tidewatch.session import STATE_STORE
 
 SIZE, STEP = 60, 10
@@ -138,11 +139,35 @@ def time_windows(
 
 
 def session_windows(
-    df: DataFrame, ts: str, gap: str, aggregates: list[Column], keys: Iterable[str] = (), late: str | None = None
+    df: DataFrame,
+    ts: str,
+    gap: str,
+    aggregates: list[Column],
+    keys: Iterable[str] = (),
+    late: str | None = None,
+    tie: str | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Windows that end after a pause of `gap`."""
+    """Windows that end after a pause of `gap`.
+
+    On a stream this is Spark's session window. On a table that operator would bring all rows of a key into
+    one task, so sessions are numbered instead: a row after a pause starts one, the running total of starts is
+    its number (in blocks for long series, see `plans.ordered`), and (key, number) is an ordinary group.
+    """
     keys = list(keys)
-    return _grouped(event_time(df, ts, late), keys, F.session_window(ts, gap), aggregates)
+    if df.isStreaming:
+        return _grouped(event_time(df, ts, late), keys, F.session_window(ts, gap), aggregates)
+    series = load_series(df, keys, ts, tie, [], block_rows)
+
+    def starts(rows: DataFrame, frames: Frames) -> DataFrame:
+        pause = f"`{ts}` >= lag(`{ts}`, 1) OVER {frames.sql()} + INTERVAL '{gap}'"
+        return rows.withColumn("_start", F.expr(f"CASE WHEN coalesce({pause}, true) THEN 1L ELSE 0L END"))
+
+    marked = series.transform_rows(starts, before=1)
+    numbered = running_totals(marked, series.keys, ts, ["_start"], block_rows, tie)
+    spans = [F.min(ts).alias("start"), (F.max(ts) + F.expr(f"INTERVAL '{gap}'")).alias("end")]
+    out = numbered.groupBy(*series.keys, "cum__start").agg(*spans, *aggregates)
+    return out.drop("cum__start", *([] if keys else series.keys))
 
 
 def deduplicated(df: DataFrame, identity: Iterable[str], ts: str, late: str) -> DataFrame:
