@@ -22,6 +22,7 @@ from tidewatch.operators.spectral import spectral_features
 from tidewatch.operators.wavelet import wavelet_features
 from tidewatch.plans.layout import Frames
 from tidewatch.plans.series import Series
+from tidewatch.session import pinned
 
 STREAM_WINDOWS, STREAM_LAGS = (5, 10, 20), (1, 5, 10)
 FALLBACK_STATS, FALLBACK_KINDS = ("mean", "std", "min", "max"), ("lag", "diff")
@@ -88,7 +89,8 @@ def full_features(
         gappy = [c for c in numbers if c not in whole]
         out = handle_missing(series.with_df(out, numbers), "interpolate", columns=gappy)
     if scale:
-        out = scale_columns(out, numbers)
+        # Fitting and applying both read the features: they are computed once.
+        out = scale_columns(pinned(out), numbers)
     ordered = [c for c in numbers if c not in seasonal] + seasonal
     return out.select(*series.identity, *ordered)
 
