@@ -99,9 +99,12 @@ def sequence_vectors(model: FittedModel, series: Series) -> DataFrame:
     """(identity, _v): scaled features of each full sequence, flattened, oldest row first."""
     cells = {f"_s{i}": c for i, c in enumerate(model.inputs(series.df))}
     scaled = series.df.withColumns(cells)
-    flat = F.flatten("sequence")
+    length = model.settings["length"]
+    # Short sequences are filtered out; the padding keeps a model safe should Spark evaluate it before the filter.
+    padding = F.array_repeat(F.lit(0.0), length * len(cells))
+    flat = F.when(F.size("sequence") == length, F.flatten("sequence")).otherwise(padding)
     label = model.settings.get("label")
-    out = sequences(series.with_df(scaled), list(cells), model.settings["length"], label)
+    out = sequences(series.with_df(scaled), list(cells), length, label)
     return out.select(*series.identity, array_to_vector(flat).alias("_v"), *([label] if label else []))
 
 
