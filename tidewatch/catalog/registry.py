@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,14 +32,11 @@ def _nudge(places: int) -> float:
 
 def rounded(df: DataFrame, keep: list[str], places: int = 4) -> DataFrame:
     """`keep` as they are, every DOUBLE rounded, so that summation order does not show."""
-    types = dict(df.dtypes)
     cells = [
-        F.round(F.col(c) + F.lit(_nudge(places)), places).alias(c)
-        if types[c] == "double" and c not in keep
-        else F.col(c)
-        for c in df.columns
+        f"round(`{c}` + {_nudge(places)!r}D, {places}) AS `{c}`" if t == "double" and c not in keep else f"`{c}`"
+        for c, t in df.dtypes
     ]
-    return df.select(*cells)
+    return df.selectExpr(*cells)
 
 
 def r(sql: str, name: str, places: int = 4) -> str:
