@@ -17,7 +17,7 @@ from tidewatch.catalog.fixtures import (
 from tidewatch.catalog.registry import query, r, rounded
 from tidewatch.functions.hashing import hash_uniform
 from tidewatch.operators import detect, ensemble, evaluate
-from tidewatch.operators.inject import Drift, Intermittent, Spike, apply_plan, inject
+from tidewatch.operators.inject import Drift, Intermittent, Spike, apply_plan, inject, random_plan
 from tidewatch.plans.ordered import exact_quantile
 
 KEYS = ["event_type", "event_id"]
@@ -103,6 +103,23 @@ def fallback(spark, sf):
     return detect.fallback_detector(df, ["value"], ["day"], k=1.6).select("event_id", "anomaly")
 
 
+@query("anomaly_rate", f"SELECT event_type, {r('avg(CAST(anomaly AS INTEGER))', 'anomaly_rate', 6)} FROM ({threshold_sql(LONG_SQL, 1.5)}) GROUP BY event_type")
+def rate_of_threshold(spark, sf):
+    rows = detect.threshold_detector(long_series(spark, sf), "value", k=1.5)
+    return rounded(detect.anomaly_rate(rows, by=["event_type"]), ["event_type"], 6)
+
+
+@query(
+    "series_statistics_on_rows",
+    f"""SELECT event_type, event_id, {r('avg(value) OVER p', 'mean')}, {r('stddev_samp(value) OVER p', 'std')}
+      FROM events WINDOW p AS (PARTITION BY event_type)""",
+)
+def statistics_on_rows(spark, sf):
+    s = long_series(spark, sf)
+    table_ = s.df.groupBy("event_type").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    return rounded(s.attach(s.df, table_).drop("ts", "value"), KEYS)
+
+
 @query("label_balance", f"SELECT count(*) FILTER (WHERE toxic = 1) AS anomalies, count(*) FILTER (WHERE toxic = 0) AS normal, {r('count(*) FILTER (WHERE toxic = 0) / count(*) FILTER (WHERE toxic = 1)', 'positive_weight')} FROM labels")
 def balance(spark, sf):
     return rounded(detect.label_balance(table(spark, sf, "labels"), "toxic"), [])
@@ -179,6 +196,36 @@ def truth(spark, sf):
     return out.groupBy("event_type").agg(F.count_if("value_anomaly").alias("flagged"))
 
 
+RANDOM_PLAN = random_plan(["value"], 4, seed=7)
+
+
+def _anomaly_sql(i: int, a) -> tuple[str, str]:
+    if isinstance(a, Spike):
+        return _spike_sql(a.position_ratio, a.duration_ratio, a.amplitude_factor)
+    if isinstance(a, Drift):
+        return _drift_sql(a.start_ratio, a.end_ratio, a.drift_factor)
+    return _fault_sql(a.start_ratio, a.end_ratio, a.frequency, a.amplitude_factor, i)
+
+
+def _steps_sql(plan) -> str:
+    """Anomalies one after the other, each scaled by the deviation its predecessor left."""
+    steps = [f"s0 AS (SELECT *, false AS hit FROM ({BASE_SQL}))"]
+    for i, a in enumerate(plan):
+        hit, change = _anomaly_sql(i, a)
+        steps.append(
+            f"""s{i + 1} AS (SELECT * EXCLUDE (value, sd, hit, value2), value2 AS value, hit,
+              stddev_pop(value2) OVER (PARTITION BY event_type) AS sd
+              FROM (SELECT * EXCLUDE (hit), value + CASE WHEN {hit} THEN {change} * sd ELSE 0 END AS value2,
+                hit OR {hit} AS hit FROM s{i}))"""
+        )
+    return f"WITH {', '.join(steps)} SELECT event_type, event_id, value, hit AS value_anomaly FROM s{len(plan)}"
+
+
+@query("random_anomaly_plan", f"SELECT event_type, event_id, {r('value', 'value')}, value_anomaly FROM ({_steps_sql(RANDOM_PLAN)})")
+def random_anomalies(spark, sf):
+    return rounded(inject(long_series(spark, sf), RANDOM_PLAN).drop("ts"), KEYS)
+
+
 _HIT = _spike_sql(0.3, 0.02, 4.0)
 _SPIKED = injected_sql(*_HIT)
 _DETECTORS = {

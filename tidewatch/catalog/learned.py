@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.catalog.fixtures import long_series, table
+from tidewatch.catalog.messaging import stream_series
 from tidewatch.catalog.registry import query, r, rounded
 from tidewatch.functions.hashing import row_key
 from tidewatch.models.forest import fit_isolation_forest
@@ -25,10 +26,12 @@ from tidewatch.models.supervised import (
 from tidewatch.operators import ensemble, evaluate
 from tidewatch.operators.inject import Drift, Spike, inject
 from tidewatch.operators.missing import fill_zero
-from tidewatch.plans.profiles import row_features
+from tidewatch.plans.profiles import row_features, stream_features
 from tidewatch.plans.series import Series
 from tidewatch.session import pinned, scratch_path
 from tidewatch.sources.files import write_report
+from tidewatch.streaming.scoring import StreamScorer, start_scoring
+from tidewatch.streaming.windows import count_windows, stream_count_windows, window_rows
 
 FEATURES = ["value", "value_roll_mean_10", "value_roll_std_10", "value_roll_max_10", "value_diff_1"]
 DIMENSIONS = 64
@@ -171,6 +174,24 @@ def predictions(spark, sf):
     return out.select("event_id", "label", *keep, "ensemble", "confidence")
 
 
+@query("stream_model_alerts")
+def stream_model_alerts(spark, sf):
+    """Windows of a stream scored by two stored models, with thresholds kept between micro-batches."""
+    s = stream_series(spark, sf)
+    table_ = long_series(spark, sf)
+    rows = pinned(stream_features(window_rows(count_windows(table_), table_)))
+    names = ["value", "value_roll_mean_5", "value_roll_std_10", "value_diff_1"]
+    key = row_key("event_type", "window", "event_id")
+    models = {
+        "autoencoder": fit_reconstruction(rows, names),
+        "isolation_forest": fit_isolation_forest(rows, names, key),
+    }
+    out = scratch_path(spark, "scored")
+    scorer = StreamScorer(s, models, out)
+    start_scoring(stream_count_windows(s), scorer, f"{out}-checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{out}/alerts")
+
+
 @query("model_registry")
 def registered(spark, sf):
     rows, s = labelled(spark, sf)

@@ -131,7 +131,7 @@ def _finished(spark, df: DataFrame, label: str, mode: str = "append") -> DataFra
     return spark.read.parquet(out)
 
 
-def _stream_series(spark, sf):
+def stream_series(spark, sf):
     return load_series(_stream(spark, sf).drop("user_id"), ["event_type"], "ts", "event_id", ["value"])
 
 
@@ -158,7 +158,7 @@ def batch_windows(spark, sf):
 
 @query("stream_count_windows", _WINDOWS_SQL)
 def streamed_windows(spark, sf):
-    return _described(_finished(spark, windows.stream_count_windows(_stream_series(spark, sf)), "windows"))
+    return _described(_finished(spark, windows.stream_count_windows(stream_series(spark, sf)), "windows"))
 
 
 _MEMBERS_SQL = f"""SELECT w.event_type, w.n AS "window", x.event_id, x.ts, x.value
@@ -171,7 +171,7 @@ _MEMBERS_SQL = f"""SELECT w.event_type, w.n AS "window", x.event_id, x.ts, x.val
 @query("stream_window_features", _window_sql(_MEMBERS_SQL, 'event_type, "window"', [5, 20], [1, 10], True))
 def streamed_features(spark, sf):
     """Windows from keyed state, then the stream feature set on each of them."""
-    s = _stream_series(spark, sf)
+    s = stream_series(spark, sf)
     found = _finished(spark, windows.stream_count_windows(s), "windows")
     out = stream_features(windows.window_rows(found, s))
     names = [f"value_roll_{x}_{w}" for w in (5, 20) for x in ("mean", "std", "min", "max")]
@@ -262,7 +262,7 @@ def streamed_messages(spark, sf):
 @query("stream_fallback_alerts")
 def stream_alerts(spark, sf):
     """Windows scored without any model: the rule that stands in for them."""
-    s = _stream_series(spark, sf)
+    s = stream_series(spark, sf)
     out = scratch_path(spark, "alerts")
     scorer = StreamScorer(s, {}, out)
     start_scoring(windows.stream_count_windows(s), scorer, f"{out}-checkpoint", once=True).awaitTermination()

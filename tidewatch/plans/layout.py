@@ -129,7 +129,9 @@ class _Slots:
     def bucketed(self, df: DataFrame, how: str) -> DataFrame:
         lo, hi, n = F.col("_lo"), F.col("_hi"), F.col("_buckets")
         share = F.when(hi > lo, (self.code - lo).cast("double") * n / (hi - lo).cast("double"))
-        bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0))).cast("bigint"), n - 1)
+        # An infinite order value has no share of the range; it goes last.
+        share = F.nanvl(F.coalesce(share, F.lit(0.0)), (n - 1).cast("double"))
+        bucket = F.least(F.floor(share).cast("bigint"), n - 1)
         bucket = F.when(n.isNotNull(), bucket)
         return df.join(small_side(self.long, self.n_long), list(self.keys), how).withColumn(
             "_bucket", bucket

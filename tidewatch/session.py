@@ -19,6 +19,7 @@ def build_session(name: str = "tidewatch", master: str | None = None, **conf) ->
         # Window plans are bound by CPU, not by shuffle bytes: keep tasks, even small ones.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(name)
