@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.packing import pack
 from tidewatch.llm.secrets import scan_secrets, secret_report
+from tidewatch.llm.tokens import count_tokens
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -24,3 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@register
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
