@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.packing import pack
+from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.secrets import scan_secrets, secret_report
 from tidewatch.llm.tokens import count_tokens
 
@@ -29,6 +30,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+@register
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(find_pii(table(spark, sf_dir, "documents")))
+
+
+LLM_ORACLES["op4_personal_data"] = PII_SQL
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
