@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.fingerprints import edit_report
 from tidewatch.llm.packing import pack
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.secrets import scan_secrets, secret_report
@@ -38,6 +39,11 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op4_personal_data"] = PII_SQL
 
 
+@register
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
