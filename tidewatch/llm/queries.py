@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm.fingerprints import edit_report
+from tidewatch.llm.language import fit_language_model, identify
 from tidewatch.llm.packing import pack
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.secrets import scan_secrets, secret_report
 from tidewatch.llm.tokens import count_tokens
+from tidewatch.llm.urls import judge_urls
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -31,6 +34,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def fold(id: str, folds: int) -> F.Column:
+    """Checksum of the id as text, modulo `folds`; a null id is in fold 0."""
+    return F.coalesce(F.crc32(F.col(id).cast("string")) % folds, F.lit(0))
+
+
+@register
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit_language_model(documents.where(fold("doc_id", 4) != 2))
+    found = identify(documents, model, keep=["doc_id"])
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(find_pii(table(spark, sf_dir, "documents")))
@@ -52,3 +68,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
