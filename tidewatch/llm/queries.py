@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.fingerprints import edit_report
 from tidewatch.llm.language import fit_language_model, identify
 from tidewatch.llm.packing import pack
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
+from tidewatch.llm.quality import fit_quality_model, score_quality
 from tidewatch.llm.secrets import scan_secrets, secret_report
 from tidewatch.llm.tokens import count_tokens
 from tidewatch.llm.urls import judge_urls
@@ -55,6 +57,16 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op4_personal_data"] = PII_SQL
 
 
+@register
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    model = fit_quality_model(documents, labels, label="quality")
+    scored = score_quality(documents, model, keep=["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", predicted)
+
+
 @register
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_report(table(spark, sf_dir, "documents"))
@@ -65,6 +77,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
