@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.batches import PIECE_CHARS, map_texts, pieces
+from tidewatch.llm.batches import map_texts, pieces
 from tidewatch.llm.language import lowered
 
 #: Characters of a q-gram, and edits allowed per character of an item.
@@ -265,7 +265,7 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 at = 0
-                for part in pieces([batch.select([text])], text, PIECE_CHARS):
+                for part in pieces([batch.select([text])], text):
                     for i, *_ in shared.value.hits(part[text]):
                         clean[at + i] = False
                     at += len(part[text])

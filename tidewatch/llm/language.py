@@ -259,3 +259,19 @@ def identify(
             yield part | {"lang_pred": names, "score": scores, "lang_spans": spans}
 
     return map_texts(df.select(*keep, text), run, schema, text)
+
+
+def keep_identified(df: DataFrame, model: LanguageModel, least: float, text: str = "text", switch: float = SWITCH) -> DataFrame:
+    """The rows of `df`, all columns, whose text has a language with a score of at least `least`."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [
+                name != "und" and score >= least
+                for part in pieces([batch.select([text])], text)
+                for name, score, _ in label_texts(shared.value, part[text], switch)
+            ]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.fingerprints import edit_report
+from tidewatch.llm.jaccard import ngram_components
 from tidewatch.llm.language import fit_language_model, identify
 from tidewatch.llm.packing import pack
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
@@ -36,6 +37,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+@register
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def fold(id: str, folds: int) -> F.Column:
     """Checksum of the id as text, modulo `folds`; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(id).cast("string")) % folds, F.lit(0))

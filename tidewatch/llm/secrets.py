@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.automaton import Automaton
-from tidewatch.llm.batches import map_texts
+from tidewatch.llm.batches import map_texts, pieces
 
 
 def whole(match: bytes) -> bytes:
@@ -96,13 +97,16 @@ def redact_secrets(df: DataFrame, id: str = "doc_id", text: str = "text", mask:
     """
     rules = RULES
     automaton = Automaton([r.pattern for r in rules])
-    schema = df.select(*df.columns).schema.simpleString().removeprefix("struct<").removesuffix(">")
 
-    def run(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for part in parts:
-            yield part | {text: [_masked(automaton, rules, t, mask) for t in part[text]]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masked = [
+                _masked(automaton, rules, t, mask) for part in pieces([batch.select([text])], text) for t in part[text]
+            ]
+            at = batch.schema.get_field_index(text)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(masked, batch.schema.field(at).type))
 
-    return map_texts(df, run, schema, text)
+    return df.mapInArrow(run, df.schema)
 
 
 def _masked(automaton: Automaton, rules: tuple[Rule, ...], text: str | None, mask: str) -> str | None:
