@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
+    "spark.checkpoint.dir": "/tmp/tidewatch-tests",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 

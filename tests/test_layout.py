@@ -35,6 +35,31 @@ def test_a_burst_at_one_instant_is_split_by_its_tie(spark):
     assert rows.groupBy("key", BLOCK).count().agg(F.max("count")).first()[0] < 60
 
 
+def burst(spark, kind):
+    """20,000 rows of one series: crowded by one far instant, by one instant with text ties, or by repeated numbers."""
+    n = 20_000
+    if kind == "outlier":
+        df = spark.range(n).selectExpr(
+            "'hot' AS key", f"timestamp_micros(if(id = {n - 1}, 4000000000000000, 1700000000000000 + id * 1000)) AS ts", "id", "1.0 AS x"
+        )
+        return load_series(df, ["key"], "ts", "id", ["x"], 20)
+    if kind == "text":
+        df = spark.range(n).selectExpr("'hot' AS key", "timestamp'2024-03-01' AS ts", "concat('order-', lpad(id, 9, '0')) AS tie", "id", "1.0 AS x")
+        return load_series(df, ["key"], "ts", "tie", ["x"], 500)
+    df = spark.range(n).selectExpr("'hot' AS key", "double(if(id < 100, id - 200, id div 6000)) AS at_", "id", "1.0 AS x")
+    return load_series(df, ["key"], "at_", "id", ["x"], 500)
+
+
+@pytest.mark.parametrize("kind", ["outlier", "text", "numbers"])
+def test_bursts_are_cut_until_they_fit(spark, kind):
+    s = burst(spark, kind)
+    rows, frames = arrange(s)
+    assert frames.blocked
+    assert rows.groupBy("key", BLOCK).count().agg(F.max("count")).first()[0] <= 2 * s.block_rows
+    placed = s.transform_rows(lambda df, f: df.withColumn("at", f.position()))
+    assert placed.where("at <> id + 1").count() == 0 and placed.count() == 20_000
+
+
 def test_halo_reaches_over_blocks_smaller_than_itself(spark):
     pdf = frame(150, ["hot"])
     s = series(spark, pdf, 5)

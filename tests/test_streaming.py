@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from tests.helpers import SCHEMA, frame
 from tidewatch import load_series
-from tidewatch.models.reconstruction import fit_reconstruction
+from tidewatch.models.reconstruction import fit_reconstruction, fit_sequence_reconstruction
 from tidewatch.models.forest import fit_isolation_forest
+from tidewatch.operators.ensemble import threshold_table
 from tidewatch.plans.profiles import stream_features
 from tidewatch.session import scratch_path
 from tidewatch.sources import files
@@ -125,6 +126,36 @@ def test_scoring_without_models_uses_the_fallback_rule(spark):
     assert {r["sensor_x"] for r in out.filter("is_anomaly").collect()} >= {500.0}
 
 
+def test_sequence_models_score_windows_as_in_batch(spark):
+    pdf = frame(150)
+    path, folder = scratch_path(spark, "in"), scratch_path(spark, "sequences")
+    parts(spark, pdf, path, 3)
+    table = load_series(spark.read.schema(SCHEMA).parquet(path), ["key"], "ts", "id", ["x", "y"])
+    model = fit_sequence_reconstruction(table, ["x", "y"], length=12)
+    threshold = model.threshold
+    scorer_run(spark, {"lstm_autoencoder": model}, folder, path)
+    live = spark.read.parquet(f"{folder}/predictions")
+    rows = windows.window_rows(windows.count_windows(table), table)
+    want = model.transform(stream_features(rows), tuple(rows.keys))
+    cells = ["key", "window", "id", F.round("score_lstm_autoencoder", 9).alias("score")]
+    live, want = live.select(*cells), want.select(*cells)
+    n = table.df.groupBy("key").count().selectExpr("sum(60 * ((count - 60) div 10 + 1)) AS n").first()["n"]
+    assert live.count() == want.count() == n
+    assert live.exceptAll(want).count() == 0 and live.where("score IS NOT NULL").count() == n // 60 * 49
+    assert model.threshold == threshold
+
+
+def test_thresholds_come_from_the_newest_version(spark):
+    folder = scratch_path(spark, "versions")
+    series = load_series(spark.createDataFrame([], SCHEMA), ["key"], "ts", "id", ["x"])
+    scorer = StreamScorer(series, {}, folder)
+    assert scorer._previous(spark, "thresholds", 5) is None
+    for batch in (1, 3):
+        scorer._write(threshold_table(spark, {"m": float(batch)}), "thresholds", batch)
+    for batch, value in ((2, 1.0), (3, 1.0), (4, 3.0), (9, 3.0)):
+        assert scorer._previous(spark, "thresholds", batch).first()["threshold"] == value
+
+
 def test_stage_stats(spark):
     rows = spark.createDataFrame([(0, "addBatch", 1.0, 10), (1, "addBatch", 3.0, 30)], PROGRESS_SCHEMA)
     got = {r["stage"]: r for r in stage_stats(rows, ["addBatch", "walCommit"]).collect()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.catalog.fixtures import long_series, table
+from tidewatch.catalog.fixtures import LONG_SQL, long_series, table
 from tidewatch.catalog.messaging import stream_series
 from tidewatch.catalog.registry import query, r, rounded
 from tidewatch.functions.hashing import row_key
@@ -192,6 +192,27 @@ def stream_model_alerts(spark, sf):
     return spark.read.parquet(f"{out}/alerts")
 
 
+@query(
+    "stream_sequence_alerts",
+    f"""SELECT event_type, (rn - 60) // 10 AS "window", 60 AS rows, 60 AS readings, 41 AS scored FROM (
+      SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM ({LONG_SQL}))
+      WHERE rn >= 60 AND (rn - 60) % 10 = 0""",
+)
+def stream_sequence_alerts(spark, sf):
+    """A sequence model on overlapping windows: every window keeps its 60 rows, of which the last 41 end a sequence of 20."""
+    s = stream_series(spark, sf)
+    model = fit_sequence_reconstruction(long_series(spark, sf), ["value"], length=20)
+    out = scratch_path(spark, "sequences")
+    scorer = StreamScorer(s, {"lstm_autoencoder": model}, out)
+    start_scoring(stream_count_windows(s), scorer, f"{out}-checkpoint", once=True).awaitTermination()
+    scored = spark.read.parquet(f"{out}/predictions")
+    return scored.groupBy("event_type", "window").agg(
+        F.count("*").cast("int").alias("rows"),
+        F.countDistinct("event_id").cast("int").alias("readings"),
+        F.count("score_lstm_autoencoder").cast("int").alias("scored"),
+    )
+
+
 @query("model_registry")
 def registered(spark, sf):
     rows, s = labelled(spark, sf)

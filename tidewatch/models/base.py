@@ -42,13 +42,14 @@ class FittedModel:
     def vector(self, df: DataFrame) -> Column:
         return array_to_vector(self.array(df))
 
-    def scored(self, df: DataFrame) -> DataFrame:
-        """Adds this model's raw outputs."""
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
+        """Adds this model's raw outputs. `keys`: what a series of `df` is, where it is not what the model was fitted on."""
         raise NotImplementedError
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = self.scored(df)
-        flag = as_flag(F.col(f"score_{self.name}") > F.lit(self.threshold))
+    def transform(self, df: DataFrame, keys: tuple[str, ...] | None = None, threshold: float | None = None) -> DataFrame:
+        """Adds outputs and flags; a given threshold stands in for the model's own, which stays as it is."""
+        out = self.scored(df, keys)
+        flag = as_flag(F.col(f"score_{self.name}") > F.lit(self.threshold if threshold is None else threshold))
         flag = F.when(F.col(f"score_{self.name}").isNotNull(), flag)
         return out.withColumn(f"pred_{self.name}", flag)
 

@@ -78,7 +78,7 @@ class IsolationForest(FittedModel):
     size_name = "trees"
     trees: list[dict]
 
-    def scored(self, df: DataFrame) -> DataFrame:
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         return df.withColumn(f"score_{self.name}", self._score(df))
 
     def _score(self, df: DataFrame) -> Column:

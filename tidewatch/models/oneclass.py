@@ -61,7 +61,7 @@ class FourierOneClass(FittedModel):
 
         return dot(self.array(df))
 
-    def scored(self, df: DataFrame) -> DataFrame:
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         """Score = minus the margin, so that higher means more anomalous."""
         return df.withColumn(f"score_{self.name}", -self.margin(df))
 

@@ -47,7 +47,7 @@ class Reconstruction(FittedModel):
         error = F.greatest(lost, F.lit(0.0)) / F.lit(float(width))
         return df.withColumn(f"score_{self.name}", error).drop("_x", "_z")
 
-    def scored(self, df: DataFrame) -> DataFrame:
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         return self._errors(df, self.vector(df), len(self.features))
 
     def write_payload(self, path: str, spark) -> None:
@@ -87,10 +87,11 @@ class SequenceReconstruction(Reconstruction):
         rows = sequence_vectors(self, series)
         return self._errors(rows, F.col("_v"), self.settings["width"]).drop("_v")
 
-    def scored(self, df: DataFrame) -> DataFrame:
-        """Rows need the order columns this model was trained with."""
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
+        """Rows need the order columns this model was trained with; `keys` say what a series is where that differs, as in
+        overlapping windows, where a reading belongs to a sequence of each of its windows."""
         s = self.settings
-        series = Series(df, tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
+        series = Series(df, keys or tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
         ends = self.scored_series(series).select(*series.identity, f"score_{self.name}")
         return df.join(ends, series.identity, "left")
 

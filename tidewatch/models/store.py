@@ -30,8 +30,18 @@ KINDS = {
 }
 
 
-def predict(models: dict[str, FittedModel], df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
-    """Outputs of all or the named models side by side; an unknown name is an error."""
+def predict(
+    models: dict[str, FittedModel],
+    df: DataFrame,
+    names: Iterable[str] | None = None,
+    keys: tuple[str, ...] | None = None,
+    thresholds: dict[str, float] | None = None,
+) -> DataFrame:
+    """Outputs of all or the named models side by side; an unknown name is an error.
+
+    `keys` name a series of `df` where that is not what the models were fitted on; `thresholds` stand in for those of the
+    models, which are left as they are.
+    """
     if not models:
         raise ValueError("No trained models")
     chosen = list(names) if names is not None else list(models)
@@ -39,7 +49,7 @@ def predict(models: dict[str, FittedModel], df: DataFrame, names: Iterable[str]
     if unknown:
         raise ValueError(f"Models not found: {unknown}; available: {list(models)}")
     for n in chosen:
-        df = models[n].transform(df)
+        df = models[n].transform(df, keys, (thresholds or {}).get(n))
     return df
 
 

@@ -60,11 +60,11 @@ class Classifier(FittedModel):
             "_x", "_raw", "_probability", "_prediction"
         )
 
-    def scored(self, df: DataFrame) -> DataFrame:
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         return self._probability(df, self.vector(df))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.scored(df)
+    def transform(self, df: DataFrame, keys: tuple[str, ...] | None = None, threshold: float | None = None) -> DataFrame:
+        return self.scored(df, keys)
 
     def write_payload(self, path: str, spark) -> None:
         self.fitted.write().overwrite().save(f"{path}/classifier")
@@ -84,9 +84,9 @@ class SequenceClassifier(Classifier):
     def scored_series(self, series: Series) -> DataFrame:
         return self._probability(sequence_vectors(self, series), F.col("_v")).drop("_v")
 
-    def scored(self, df: DataFrame) -> DataFrame:
+    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         s = self.settings
-        series = Series(df, tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
+        series = Series(df, keys or tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
         cells = [f"prob_{self.name}", f"pred_{self.name}"]
         ends = self.scored_series(series).select(*series.identity, *cells)
         return df.join(ends, series.identity, "left")

@@ -10,13 +10,14 @@ series and wrong for a key that holds a third of the table, so `arrange` looks a
   border, to the neighbour as a halo copy. Windows then run on (keys, block) and halo rows are dropped.
 
 Bucket widths follow each series' own time range; a bucket that is still too full (a burst, or one instant
-with many readings) is split again at quantiles of (time, tie). Positions are exact counts, never estimates,
-so results do not depend on where the cuts fall.
+with many readings) is cut at quantiles of its order values, and so is each part that is still too full, until
+all fit; what holds one order value only is cut at quantiles of the tie. Positions are exact counts, never
+estimates, so results do not depend on where the cuts fall.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -27,7 +28,11 @@ from tidewatch.session import pinned
 
 BLOCK, CORE, FIRST = "_block", "_core", "_first"
 BUCKETS_PER_BLOCK = 8
+# Cuts of one over-full slot, and how often slots are cut again: enough for 2^54 parts of a bucket.
 BURST_CUTS = 255
+BURST_LEVELS = 6
+# Bytes of a text tie, behind what all ties of a slot begin with, that one level of cuts tells apart.
+TIE_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -115,15 +120,14 @@ def _in_blocks(series: Series, before: int, after: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Slots:
-    """Where the long series were cut: per-series ranges, burst cuts and counted slots."""
+    """Where the long series were cut: per-series ranges, levels of burst cuts, and counted slots."""
 
     keys: tuple[str, ...]
     code: Column
     tie: str | None
     long: DataFrame
     n_long: int
-    bursts: DataFrame | None
-    n_bursts: int
+    levels: tuple[tuple[DataFrame, int], ...] = ()
     counts: DataFrame | None = None
 
     def bucketed(self, df: DataFrame, how: str) -> DataFrame:
@@ -138,24 +142,41 @@ class _Slots:
         )
 
     def tag(self, df: DataFrame, how: str = "left") -> DataFrame:
-        rows = self.bucketed(df, how)
-        if self.bursts is None:
-            return rows.withColumn("_slot", F.lit(0))
-        rows = rows.join(
-            small_side(self.bursts, self.n_bursts), [*self.keys, "_bucket"], "left"
-        )
-        fine = _fine_code(self.code, self.tie)
-        slot = F.size(F.filter("_cuts", lambda cut: cut < fine))
-        return rows.withColumn("_slot", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(slot))
+        rows = self.bucketed(df, how).withColumn("_slot", F.lit(0).cast("bigint"))
+        for cuts, n in self.levels:
+            edges = [c for c in cuts.columns if c not in {*self.keys, "_bucket", "_slot"}]
+            rows = rows.join(small_side(cuts, n), [*self.keys, "_bucket", "_slot"], "left")
+            fine = _fine_code(rows, self.code, self.tie)
+            # Below, at and above each cut: a value that fills slots by itself ends up alone.
+            part = F.size(F.filter("_cuts", lambda c: c < fine)) + F.size(F.filter("_cuts", lambda c: c <= fine))
+            part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)
+            slot = F.col("_slot") * (2 * BURST_CUTS + 2) + part
+            rows = rows.withColumn("_slot", slot).drop(*edges)
+        return rows
+
+    def edges(self) -> list[Column]:
+        found = [F.count(F.lit(1)).alias("_n"), F.min(self.code).alias("_from"), F.max(self.code).alias("_to")]
+        return [*found, F.min(self.tie).alias("_tie_from"), F.max(self.tie).alias("_tie_to")] if self.tie else found
+
+
+def _fine_code(rows: DataFrame, code: Column, tie: str | None) -> Column:
+    """Non-decreasing in (order, tie) within a slot: the offset of the order value, or of the tie where the slot holds one
+    order value only."""
+    offset = (code - F.col("_from")).cast("double")
+    return offset if tie is None else F.when(F.col("_from") == F.col("_to"), _tie_code(rows, tie)).otherwise(offset)
 
 
-def _fine_code(code: Column, tie: str | None) -> Column:
-    """Non-decreasing in (code, tie) within a bucket: offset in time, then the tie as a fraction."""
-    offset = (code - F.col("_from")).cast("double")
-    if tie is None:
-        return offset
-    span = (F.col("_tie_to") - F.col("_tie_from") + F.lit(1)).cast("double")
-    return offset + (F.col(tie) - F.col("_tie_from")).cast("double") / span
+def _tie_code(rows: DataFrame, tie: str) -> Column:
+    dtype = rows.schema[tie].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        low, own = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("_tie_from", tie))
+        return (own - low).cast("double")
+    if isinstance(dtype, T.StringType):
+        same = "size(filter(sequence(1, length(_tie_from)), i -> left(_tie_from, i) = left(_tie_to, i)))"
+        shared = f"CASE WHEN length(_tie_from) = 0 THEN 0 ELSE {same} END"
+        behind = f"encode(substr(`{tie}`, {shared} + 1, {TIE_BYTES}), 'utf-8')"
+        return F.expr(f"cast(conv(rpad(hex(substring({behind}, 1, {TIE_BYTES})), {2 * TIE_BYTES}, '0'), 16, 10) as double)")
+    return F.col(tie).cast("double") - F.col("_tie_from").cast("double")
 
 
 def _slots(series: Series) -> _Slots:
@@ -163,11 +184,6 @@ def _slots(series: Series) -> _Slots:
         return series._cache["slots"]
     keys, size = list(series.keys), series.block_rows
     code = order_code(series)
-    tie = series.tie
-    whole_steps = not isinstance(series.df.schema[series.ts].dataType, T.NumericType)
-    usable = tie and whole_steps and isinstance(series.df.schema[tie].dataType, T.IntegralType)
-    tie = tie if usable else None
-
     long = (
         series.df.groupBy(*keys)
         .agg(
@@ -183,41 +199,24 @@ def _slots(series: Series) -> _Slots:
     )
     long = pinned(long)
     # At most rows / block_rows series can be long, so this table is small by construction.
-    slots = _Slots(tuple(keys), code, tie, long, long.count(), None, 0)
-
-    edges = [F.min(code).alias("_from")]
-    if tie:
-        edges += [F.min(tie).alias("_tie_from"), F.max(tie).alias("_tie_to")]
-    buckets = pinned(
-        slots.bucketed(series.df, "inner")
-        .groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"), *edges)
-    )
-    full = buckets.filter(F.col("_n") > size).drop("_n")
-    n_full = full.count()
-    if n_full:
-        share = [i / (BURST_CUTS + 1) for i in range(1, BURST_CUTS + 1)]
-        cuts = (
-            slots.bucketed(series.df, "inner")
-            .join(small_side(full, n_full), [*keys, "_bucket"])
-            .groupBy(*keys, "_bucket", *[c for c in full.columns if c not in {*keys, "_bucket"}])
-            .agg(
-                F.array_distinct(
-                    F.percentile_approx(_fine_code(code, tie), share, 10_000)
-                ).alias("_cuts")
-            )
-        )
-        slots = _Slots(tuple(keys), code, tie, long, slots.n_long, pinned(cuts), n_full)
-        counts = pinned(
-            slots.tag(series.df, "inner")
-            .groupBy(*keys, "_bucket", "_slot")
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-    else:
-        counts = buckets.select(*keys, "_bucket", F.lit(0).alias("_slot"), "_n")
-    slots = _Slots(
-        slots.keys, code, tie, long, slots.n_long, slots.bursts, slots.n_bursts, counts
-    )
+    slots = _Slots(tuple(keys), code, series.tie, long, long.count())
+    at = [*keys, "_bucket", "_slot"]
+    share = [i / (BURST_CUTS + 1) for i in range(1, BURST_CUTS + 1)]
+    while True:
+        counts = pinned(slots.tag(series.df, "inner").groupBy(*at).agg(*slots.edges()))
+        # Rows that agree in order and tie have no order to cut by.
+        apart = F.col("_from") < F.col("_to")
+        if slots.tie:
+            apart = apart | (F.col("_tie_from") < F.col("_tie_to"))
+        full = counts.filter((F.col("_n") > size) & apart).drop("_n")
+        n_full = full.count()
+        if not n_full or len(slots.levels) == BURST_LEVELS:
+            break
+        rows = slots.tag(series.df, "inner").join(small_side(full, n_full), at)
+        cuts = F.array_distinct(F.percentile_approx(_fine_code(rows, code, slots.tie), share, 10_000))
+        level = pinned(rows.groupBy(*at, *[c for c in full.columns if c not in at]).agg(cuts.alias("_cuts")))
+        slots = replace(slots, levels=(*slots.levels, (level, n_full)))
+    slots = replace(slots, counts=counts.select(*at, "_n"))
     series._cache["slots"] = slots
     return slots
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +15,6 @@ def build_session(name: str = "tidewatch", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Window plans are bound by CPU, not by shuffle bytes: keep tasks, even small ones.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
@@ -33,20 +30,32 @@ def build_session(name: str = "tidewatch", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    `spark.checkpoint.dir` decides. Only when the session has none (a local test run) is a temporary
-    folder made, and the session is told about it so that later calls agree.
+    `spark.checkpoint.dir` decides. A session without it uses a folder on the default filesystem of its Hadoop settings,
+    and is told about it so that later calls agree. A local disk (`file:`) is refused then, unless the master is local:
+    executors elsewhere would not see what is written there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = tempfile.mkdtemp(prefix="tidewatch-")
+        named = _default_dir(spark)
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def _default_dir(spark: SparkSession) -> str:
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    base = hadoop.get("fs.defaultFS", "file:///").rstrip("/")
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if base.startswith("file:") and not local:
+        raise ValueError("Name a folder that all executors share in spark.checkpoint.dir: the default filesystem is a local disk")
+    if base.startswith("file:"):
+        return f"{hadoop.get('hadoop.tmp.dir', '/tmp/hadoop').rstrip('/')}/tidewatch"
+    return f"{base}/tmp/tidewatch-{spark.sparkContext.sparkUser()}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

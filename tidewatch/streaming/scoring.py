@@ -48,8 +48,7 @@ class StreamScorer:
     def __call__(self, windows: DataFrame, batch: int) -> None:
         windows = pinned(windows)
         if windows.isEmpty():
-            self._carry(windows, batch)
-            return
+            return  # later batches read the version before
         rows = self._window_series(windows)
         features = pinned(stream_features(rows))
         recent = self._remember(features, batch)
@@ -77,22 +76,14 @@ class StreamScorer:
         return f"{self.folder}/{table}/batch={batch}"
 
     def _previous(self, spark: SparkSession, table: str, batch: int) -> DataFrame | None:
-        """What the batch before left, if it left anything."""
-        if batch == 0:
-            return None
-        try:
-            return spark.read.parquet(self._path(table, batch - 1))
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-
-    def _carry(self, windows: DataFrame, batch: int) -> None:
-        """An empty batch hands on what the previous one left."""
-        for table in ("recent", "thresholds"):
-            left = self._previous(windows.sparkSession, table, batch)
-            if left is not None:
-                self._write(left, table, batch)
+        """The newest version that a batch before this one left; None only if none of them left any."""
+        for before in range(batch - 1, -1, -1):
+            try:
+                return spark.read.parquet(self._path(table, before))
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+        return None
 
     def _remember(self, features: DataFrame, batch: int) -> DataFrame:
         """Newest rows of every series; windows overlap, so a row is kept once, from its newest window."""
@@ -115,9 +106,8 @@ class StreamScorer:
         left = self._previous(spark, "thresholds", batch)
         if left is not None:
             thresholds |= ensemble.read_thresholds(left)
-        for name, value in thresholds.items():
-            self.models[name].threshold = value
-        scored = predict(self.models, features)
+        # A reading is in several windows, and in each of them it ends a sequence of that window.
+        scored = predict(self.models, features, keys=tuple(rows.keys), thresholds=thresholds)
         if batch < self.warm_up:
             self._write(ensemble.threshold_table(spark, thresholds), "thresholds", batch)
             out = ensemble.combine(ensemble.with_confidence(scored, thresholds), "weighted_vote")
