@@ -50,9 +50,13 @@ def leading(n: int) -> int:
     return n // 4 + 1 + slack(n)
 
 
+def slack_pairs(n: int) -> int:
+    return 2 + n // 40
+
+
 def leading_pairs(n: int) -> int:
     """The same in the second index, where a segment may differ by one element, so half as many suffice."""
-    return (n // 4 + 2) // 2
+    return (n // 4 + 2) // 2 + slack_pairs(n)
 
 
 def band_of(n: int) -> int:
@@ -72,19 +76,26 @@ def segments(shingles: np.ndarray, band: int, second: bool) -> tuple[np.ndarray,
 
 
 def signatures(shingles: np.ndarray, band: int, second: bool) -> np.ndarray:
-    """Index keys of a set under a band: content of its segments, in the second index with every one-deletion content and
-    with empty segments. The band is in the low bits."""
+    """Index keys of a set under a band, with the band in the low bits: the content of its segments that are not empty, in
+    the second index with every one-deletion content.
+
+    What is empty, or becomes so by a deletion, is a key in the second index only when a set has more such segments than
+    the slack of its least partner: otherwise some other segment of the pair agrees as well.
+    """
     content, size, used = segments(shingles, band, second)
-    numbers = np.arange(used, dtype=np.uint64)
+    numbers, filled = np.arange(used, dtype=np.uint64), size > 0
     if second:
         top = leading_pairs(2 * BANDS[band])
         place = mixed(shingles, 102) % np.uint64(top)
         mine = place < used
         with np.errstate(over="ignore"):
             less = content[place[mine].astype(np.int64)] - mixed(shingles[mine], 103)
-        content, numbers = np.concatenate([content, less]), np.concatenate([numbers, place[mine]])
+        left = size[place[mine].astype(np.int64)] > 1
+        if int((size < 2).sum()) > slack_pairs(-(-4 * len(shingles) // 5)):
+            filled[:], left[:] = True, True
+        content, numbers = np.concatenate([content[filled], less[left]]), np.concatenate([numbers[filled], place[mine][left]])
     else:
-        content, numbers = content[size > 0], numbers[size > 0]
+        content, numbers = content[filled], numbers[filled]
     keys = mixed(mixed(content, 104) + numbers, 105 + second)
     return np.unique((keys & ~np.uint64((1 << BAND_BITS) - 1)) | np.uint64(band))
 
@@ -263,30 +274,38 @@ def short_of_slack(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links between sets of one cluster: every block of sets meets every other of its cluster once, sorted by size."""
+    """Links between sets of one cluster. Sizes are put into classes a quarter apart, so links are within a class or with the
+    next one; the sets of a class and the next are cut into blocks, and each block meets every other once."""
     rows = texts.join(clusters, "h").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    counts = clusters.groupBy("cluster").agg(F.count("*").alias("members"))
-    rows = rows.join(counts, "cluster").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
+    rows = rows.withColumn("own", own).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") - 1)))
+    counts = rows.groupBy("cluster", "class").agg(F.count("*").alias("members"))
+    rows = rows.join(counts, ["cluster", "class"]).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
     # Block i meets j >= i: a set goes to all pairs of blocks that hold its own.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = rows.select("cluster", "block", "h", "n", "root", "text", other.alias("other"))
+    spread = rows.select("cluster", "class", "own", "block", "h", "n", "root", "text", other.alias("other"))
     spread = spread.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
 
     def meet(table: pa.Table) -> pa.Table:
         a, b = [], []
         h, root, block = (table[c].to_numpy() for c in ("h", "root", "block"))
+        first = table["own"].to_numpy() == table["class"].to_numpy()
+        if not first.any() or (root == root[0]).all():
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
         sets = shingle_sets(table["text"].to_pylist())
         n = np.array([len(s) for s in sets], np.int64)
-        width = 1 << int(n.max()).bit_length()
-        shape = np.zeros((len(sets), width), np.uint32)
+        # Sets that differ in d elements differ in at most d of these segments.
+        width = 1 << max(3, int(n.max() // 2).bit_length())
+        shape = np.zeros((len(sets), width), np.uint16)
         with np.errstate(over="ignore"):
             for row, s in zip(shape, sets, strict=True):
-                np.add.at(row, (mixed(s, 107) % np.uint64(width)).astype(np.int64), mixed(s, 108).astype(np.uint32))
+                np.add.at(row, (mixed(s, 107) % np.uint64(width)).astype(np.int64), mixed(s, 108).astype(np.uint16))
         mixed_blocks = block.min() != block.max()
         for i in range(len(sets)):
             ahead = np.arange(i + 1, len(sets))
             near = ahead[(root[ahead] != root[i]) & (4 * n[ahead] <= 5 * n[i]) & (5 * n[ahead] >= 4 * n[i])]
+            near = near[first[near] | first[i]]
             if mixed_blocks:
                 near = near[block[near] != block[i]]
             if len(near):
@@ -298,7 +317,7 @@ def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFr
                     b.append(int(h[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("cluster", "low", "high").applyInArrow(meet, "a bigint, b bigint")
+    return spread.groupBy("cluster", "class", "low", "high").applyInArrow(meet, "a bigint, b bigint")
 
 
 def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
