@@ -8,8 +8,9 @@ small enough to have partners there. A set always uses the leading segments that
 Allocation by cost, per set: an empty segment, or one whose content is common (more than COMMON sets hold it), costs more
 than it finds, so it gets nothing; the slack pays for that. All others get their exact content. Sets that would have to
 skip more than their slack go to a second index with half as many, longer segments, each with its content and its
-one-deletion neighbourhood (so each such segment counts twice in the pigeonhole). Sets for which even that is common, the
-cores of large near-copy families, are compared with each other in blocks, after a segment-difference bound.
+one-deletion neighbourhood (so each such segment counts twice in the pigeonhole). These sets are mostly the near-copy
+families that hold each other's segments by the hundred: sets that meet in the second index form clusters, and those of a
+cluster are compared in blocks of like sizes, after a bound from the number of segments that differ.
 
 Equal sets are merged first, and a pair that is already connected is never looked at again, so copies cost one row each.
 """
@@ -362,9 +363,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     if size:
         keys = stored(repeated_keys(second, "text", True, 2 * size, clashes), "keys2")
         waiting = stored(open_keys(keys, roots), "open2")
-        links.append(stored(verified(pairs_within(waiting), second), "pairs2"))
-        common = waiting.where(F.col("c") > COMMON)
-        near = common.groupBy("sig").agg(F.min("h").alias("b")).join(common.select("sig", "h"), "sig")
+        near = waiting.groupBy("sig").agg(F.min("h").alias("b")).join(waiting.select("sig", "h"), "sig")
         clusters = connected(near.select(F.col("h").alias("a"), "b").where("a <> b").distinct())
         clusters = stored(clusters.select("h", F.col("root").alias("cluster")), "clusters")
         links.append(stored(in_blocks(second, clusters, roots), "blocks"))
