@@ -259,14 +259,21 @@ def streamed_messages(spark, sf):
     return _finished(spark, back, "received").select("event_id", "event_type", "value")
 
 
-@query("stream_fallback_alerts")
+@query(
+    "stream_fallback_alerts",
+    f"""SELECT event_type, "window", coalesce(value > m + 3 * d OR value < m - 3 * d, false) AS is_anomaly,
+      'threshold_detector' AS ensemble_method, value AS sensor_value
+      FROM (SELECT *, avg(value) OVER w AS m, stddev_pop(value) OVER w AS d FROM ({_MEMBERS_SQL})
+        WINDOW w AS (PARTITION BY event_type, "window"))""",
+)
 def stream_alerts(spark, sf):
     """Windows scored without any model: the rule that stands in for them."""
     s = stream_series(spark, sf)
     out = scratch_path(spark, "alerts")
     scorer = StreamScorer(s, {}, out)
     start_scoring(windows.stream_count_windows(s), scorer, f"{out}-checkpoint", once=True).awaitTermination()
-    return spark.read.parquet(f"{out}/alerts")
+    alerts = spark.read.parquet(f"{out}/alerts")
+    return alerts.select("event_type", "window", "is_anomaly", "ensemble_method", "sensor_value")
 
 
 @query("stage_stats")

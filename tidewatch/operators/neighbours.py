@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.plans.doubling import extended
-from tidewatch.plans.layout import BLOCK, Frames, arrange, small_side
-from tidewatch.plans.series import Series
+from tidewatch.plans.layout import BLOCK, Frames, arrange
+from tidewatch.plans.series import Series, small_side
 
 POSITION = "_pos"
 _RUNNING = "UNBOUNDED PRECEDING AND CURRENT ROW"

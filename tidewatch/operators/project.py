@@ -70,13 +70,18 @@ def with_labels(features: DataFrame, labels: DataFrame, on: Iterable[str]) -> Da
 
 
 def tail(series: Series, n: int) -> DataFrame:
-    """Newest n rows of every series. The rank filter is applied before the shuffle as well as after it."""
-    newest = Window.partitionBy(*series.keys).orderBy(*[F.col(c).desc() for c in series.order])
-    return (
-        series.df.withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+    """Newest n rows of every series.
+
+    Positions come from the block layout, so a long series is not gathered in one task, whatever n is. Without a known
+    size (a few rows per series, as in a stream's memory) a rank is enough.
+    """
+    if series.profile().longest <= series.block_rows:
+        newest = Window.partitionBy(*series.keys).orderBy(*[F.col(c).desc() for c in series.order])
+        return series.df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+    rows = series.transform_rows(lambda df, frames: df.withColumn("_at", frames.position()))
+    size = series.df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_size"))
+    out = series.attach(rows, size).filter(F.col("_at") > F.col("_size") - n)
+    return out.drop("_at", "_size")
 
 
 def append_recent(series: Series, batch: DataFrame, n: int = 500) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.missing import interpolate
 from tidewatch.plans.doubling import Moments, add_summaries, summary
-from tidewatch.plans.layout import Frames, small_side
-from tidewatch.plans.series import Series
+from tidewatch.plans.layout import Frames
+from tidewatch.plans.series import Series, small_side
 
 MODELS = ("additive", "multiplicative")
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.plans.series import BROADCAST_ROWS, Series
+from tidewatch.plans.series import Series, small_side
 from tidewatch.session import pinned
 
 BLOCK, CORE, FIRST = "_block", "_core", "_first"
@@ -98,11 +98,6 @@ def arrange(series: Series, before: int = 0, after: int = 0) -> tuple[DataFrame,
     return _in_blocks(series, before, after), frames
 
 
-def small_side(table: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a counted table when it is small; otherwise leave the join to adaptive execution."""
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
-
-
 def _in_blocks(series: Series, before: int, after: int) -> DataFrame:
     keys = list(series.keys)
     slots = _slots(series)

@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.plans.layout import BLOCK, arrange, small_side
-from tidewatch.plans.series import BLOCK_ROWS, Series
+from tidewatch.plans.layout import BLOCK, arrange
+from tidewatch.plans.series import BLOCK_ROWS, Series, small_side
 from tidewatch.session import pinned
 
 

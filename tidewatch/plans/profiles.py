@@ -66,22 +66,26 @@ def full_features(
 ) -> DataFrame:
     """Every feature with its defaults: 340 columns for four sensors on series of a day and more.
 
-    Decomposition joins in when the longest series covers a period. `spectral_block` cuts spectra of very long
-    series; the features of the newest block then stand for the series.
+    Decomposition is NULL where a series is shorter than two periods. With `spectral_block`, spectra are those of the block
+    of so many consecutive rows that a row lies in; without it, of its whole series.
     """
     cols = series.columns(columns)
-    base = series
-    seasonal: list[str] = []
-    if series.profile().longest >= period:
-        base = series.with_df(decompose(series, cols, period))
-        seasonal = [f"{c}_{part}" for c in cols for part in ("trend", "seasonal", "residual")]
+    seasonal = [f"{c}_{part}" for c in cols for part in ("trend", "seasonal", "residual")]
+    base = series.with_df(decompose(series, cols, period))
+    if spectral_block:
+        block = lambda df, frames: df.withColumn("_block_of", F.expr(f"(_at - 1) div {int(spectral_block)}"))
+        placed = lambda df, frames: block(df.withColumn("_at", frames.position()), frames).drop("_at")
+        base = base.with_df(base.transform_rows(placed))
     out = row_features(base, cols, pair_window=60, calendar=True)
 
-    spectra = spectral_features(series, cols, spectral_block)
-    newest = F.max_by(F.struct(*[c for c in spectra.columns if c not in series.keys]), "block")
-    spectra = spectra.groupBy(*series.keys).agg(newest.alias("_s")).select(*series.keys, "_s.*").drop("block", "rows")
+    spectra = spectral_features(series, cols, spectral_block).drop("rows").withColumnRenamed("block", "_block_of")
+    if spectral_block:
+        out = out.join(spectra, [*series.keys, "_block_of"], "left")
+    else:
+        out = series.attach(out, spectra.drop("_block_of"))
     waves = wavelet_features(series, cols)
-    out = series.attach(series.attach(out, spectra), waves)
+    out = series.attach(out, waves).drop("_block_of")
+    spectra = spectra.drop("_block_of")
     numbers = [c for c in out.columns if c not in series.identity]
     if fill:
         # Calendar and per-series columns have no gaps to fill within a series.

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 # Rows one task may be asked to order. A series above this is cut into blocks.
 BLOCK_ROWS = 1_000_000
 # A per-series table with at most this many rows may be broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_CELLS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -77,10 +77,9 @@ class Series:
         """Join a one-row-per-series table back onto rows.
 
         The table has as many rows as there are series, which the profile counted: it is broadcast only
-        below `BROADCAST_ROWS`. Above that it is an ordinary equi-join that adaptive execution may split.
+        below `BROADCAST_CELLS`. Above that it is an ordinary equi-join that adaptive execution may split.
         """
-        small = F.broadcast(per_series) if self.profile().series <= BROADCAST_ROWS else per_series
-        return df.join(small, list(self.keys), how)
+        return df.join(small_side(per_series, self.profile().series), list(self.keys), how)
 
     def transform_rows(
         self,
@@ -98,6 +97,13 @@ class Series:
         return frames.strip(plan(rows, frames))
 
 
+def small_side(table: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a counted table when rows times columns are few; otherwise leave the join to adaptive execution. Columns of
+    arrays count as one cell per burst cut."""
+    width = sum(256 if isinstance(f.dataType, T.ArrayType) else 1 for f in table.schema.fields)
+    return F.broadcast(table) if rows * width <= BROADCAST_CELLS else table
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     """Names of the numeric columns in schema order, without `exclude`."""
     skip = set(exclude)
