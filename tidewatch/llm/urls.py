@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.session import pinned
+
 #: Fixed values: (verdict, host, path) as given.
 RULES = (
     ("allow", "com", "/"),
@@ -125,7 +127,8 @@ def judge_urls(df: DataFrame, id: str = "page_id", url: str = "url", rules: tupl
     drawn = F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     train = _with_suffixes(labelled.where(drawn), statistics, few, blocked / n)
-    model = fit_trees(assembler.transform(train).select("features", "label"), seed)
+    # Fitting passes over its rows many times: the draw, of bounded size, is written to the shared folder once.
+    model = fit_trees(pinned(assembler.transform(train).select("features", "label")), seed)
     scored = assembler.transform(_with_suffixes(rows, statistics, few, blocked / n))
     scored = model.transform(scored).withColumn("_score", vector_to_array("probability")[1])
     return _verdicts(scored, id, F.when(F.col("_score") > 0.5, "block").otherwise("allow"))
