@@ -39,6 +39,7 @@ BLOCK = 400
 #: Bytes of index entries gathered in one group, and the least number of groups.
 GROUP_BYTES = 48_000_000
 GROUPS = 256
+SECOND_GROUPS = 24
 BAND_BITS = 6
 
 
@@ -145,9 +146,10 @@ ALLOWANCE = "3 + ceil(n * 4 / 5) div 10"
 
 
 def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, clashes: frozenset[int]) -> DataFrame:
-    """sig, h, c: the index keys that at least two different sets have. Entries are packed per group of keys, sets that
-    are equal within a batch enter once."""
-    groups = max(GROUPS, -(-size_hint * 16 // GROUP_BYTES))
+    """sig, h, pivot (the first set of the key), c (its sets): the index keys that at least two different sets have. Entries
+    are packed per group of keys, sets that are equal within a batch enter once. Of the second index, links (a, b) that
+    connect the sets of every key of a group: what meets there is compared in blocks anyway."""
+    groups = max(SECOND_GROUPS if second else GROUPS, -(-size_hint * 16 // GROUP_BYTES))
 
     def index(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for part in parts:
@@ -183,11 +185,33 @@ def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, cla
         count = np.diff(np.append(run, len(key)))
         own, pivot = np.repeat(count, count), np.repeat(handle[run], count)
         keep = own > 1
+        if second:
+            a, b = _forest(handle[keep], pivot[keep])
+            return pa.table({"a": a, "b": b})
         cells = (key[keep].view(np.int64), handle[keep], pivot[keep], own[keep].astype(np.int64))
         return pa.table(dict(zip(("sig", "h", "pivot", "c"), cells, strict=True)))
 
     packed = map_texts(texts.select(text), index, "part bigint, entries binary", text)
-    return packed.groupBy("part").applyInArrow(meet, "sig bigint, h bigint, pivot bigint, c bigint")
+    return packed.groupBy("part").applyInArrow(meet, "a bigint, b bigint" if second else "sig bigint, h bigint, pivot bigint, c bigint")
+
+
+def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node with the least one that the given links lead to: one row for each, however many links there are."""
+    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b = at[: len(left)], at[len(left) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return nodes[label != np.arange(len(nodes))], nodes[label[label != np.arange(len(nodes))]]
 
 
 def _packed(key: np.ndarray, handle: np.ndarray) -> bytes:
@@ -257,13 +281,14 @@ def open_keys(keys: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(spread.select("sig"), "sig", "left_semi")
 
 
-def pairs_within(rows: DataFrame) -> DataFrame:
-    """Different, unconnected sets of one key; every key has at most COMMON sets."""
-    own = rows.where(F.col("c") <= COMMON)
-    left = own.select("sig", F.col("h").alias("a"), F.col("root").alias("root_a"))
-    right = own.select("sig", F.col("h").alias("b"), F.col("root").alias("root_b"))
-    met = left.join(right, "sig").where("a < b AND root_a <> root_b")
-    return met.select("a", "b").distinct()
+def pairs_within(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Unconnected pairs that share as many keys as a link needs: of the leading segments of the smaller set, s / 4 + 1 and
+    its slack, at most (r + s) / 9 differ and at most the slack are common or empty. Keys have at most COMMON sets here."""
+    own = rows.where(F.col("c") <= COMMON).join(sets.select("h", "n"), "h")
+    left = own.select("sig", F.col("h").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
+    right = own.select("sig", F.col("h").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    met = left.join(right, "sig").where("a < b AND root_a <> root_b").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    return met.where("shared >= least(n_a, n_b) div 4 + 1 - (n_a + n_b) div 9").select("a", "b")
 
 
 def short_of_slack(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -355,16 +380,14 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     star = stored(verified(best_pivots(keys), texts), "star")
     roots = stored(connected(star), "roots")
     waiting = stored(open_keys(keys, roots), "open")
-    links = [star, stored(verified(pairs_within(waiting), texts), "pairs")]
+    links = [star, stored(verified(pairs_within(waiting, sets), texts), "pairs")]
 
     short = short_of_slack(waiting, sets).union(sparse).distinct()
     second = stored(texts.join(short, "h", "left_semi"), "short")
     size = second.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     if size:
-        keys = stored(repeated_keys(second, "text", True, 2 * size, clashes), "keys2")
-        waiting = stored(open_keys(keys, roots), "open2")
-        near = waiting.groupBy("sig").agg(F.min("h").alias("b")).join(waiting.select("sig", "h"), "sig")
-        clusters = connected(near.select(F.col("h").alias("a"), "b").where("a <> b").distinct())
+        near = stored(repeated_keys(second, "text", True, 2 * size, clashes).distinct(), "near")
+        clusters = connected(near)
         clusters = stored(clusters.select("h", F.col("root").alias("cluster")), "clusters")
         links.append(stored(in_blocks(second, clusters, roots), "blocks"))
     edges = links[0]
