@@ -39,7 +39,7 @@ BLOCK = 400
 #: Bytes of index entries gathered in one group, and the least number of groups.
 GROUP_BYTES = 48_000_000
 GROUPS = 256
-SECOND_GROUPS = 24
+SECOND_GROUPS = 4
 BAND_BITS = 6
 
 
