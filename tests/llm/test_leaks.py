@@ -57,6 +57,40 @@ def test_planted_items_and_clean_documents(spark, sf):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len({d for d, _ in want})
 
 
+def test_short_items_beside_a_long_one():
+    rng = random.Random(5)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)).replace("  ", "x ").strip()
+
+    items = [(0, prose(2000)), *[(i, prose(60)) for i in range(1, 30)]]
+    texts, want = [], {}
+    for i in range(1, 30):
+        own = items[i][1]
+        near = own[:20] + "é" + own[21:40] + own[41:]
+        for parts in ([own], [prose(40), own], [own, prose(40)], [near], [own, prose(15), own, own], [prose(70)], [items[0][1][:300]]):
+            n = sum(p in (own, near) for p in parts)
+            want |= {(len(texts), i): n} if n else {}
+            texts.append(" ".join(parts))
+    texts.append(prose(500) + items[0][1].replace("e", "é", 100))
+    want[len(texts) - 1, 0] = 1
+    order = list(range(len(texts)))
+    # Which texts come together must not matter.
+    for _ in range(3):
+        rng.shuffle(order)
+        got: dict = {}
+        for t, i, start, end, edits in Benchmark.of(items).hits([texts[k] for k in order]):
+            got[order[t], i] = got.get((order[t], i), 0) + 1
+            assert edits == least_edits(items[i][1], texts[order[t]][start:end]) <= budget(len(items[i][1]))
+        assert got == want
+
+
+def test_copies_of_a_repetitive_item_are_all_found():
+    item = "abc" * 33 + "a"
+    got = [(a, b) for _, _, a, b, _ in Benchmark.of([(1, item)]).hits(["abc" * 67 + "a"])]
+    assert got[:2] == [(0, 100), (102, 202)]
+
+
 def test_awkward_rows_and_items(spark, monkeypatch):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "same"), (4, "SAME text same\ntext same text"), (5, "中文")], "item_id long, text string")
     docs = documents(spark)

@@ -1,8 +1,9 @@
 """Benchmark decontamination: shared q-grams counted in diagonal bands, then banded alignment of what is left.
 
 A place where an item occurs with at most e edits shares at least length + 1 - q (e + 1) q-grams with it, and their
-diagonals (place in the document minus place in the item) differ by at most e. So hits are counted in bands of 2 W
-diagonals that start every W, with W >= e: an occurrence lies wholly in one of them. Bands that reach the bound are aligned.
+diagonals (place in its text minus place in the item) differ by at most e. So hits are counted per text and item in bands of
+2 W diagonals that start every W, with W >= e of that item: an occurrence lies wholly in one of them, and no band holds two
+that do not overlap or reaches into another text. Bands that reach the bound are aligned.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ class Benchmark:
     maybe: np.ndarray
     bound: np.ndarray
     edits: np.ndarray
-    band: int
+    width: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Benchmark:
@@ -113,7 +114,7 @@ class Benchmark:
         maybe[distinct >> np.uint64(64 - FILTER_BITS)] = True
         edits = np.array([budget(len(c)) for c in items], np.int64)
         bound = np.array([len(c) + 1 - Q * (e + 1) for c, e in zip(items, edits.tolist(), strict=True)], np.int64)
-        return cls([i for i, _ in known], items, distinct, start, count, item, place, maybe, bound, edits, max(1, int(edits.max(initial=0))))
+        return cls([i for i, _ in known], items, distinct, start, count, item, place, maybe, bound, edits, np.maximum(edits, 1))
 
     def hits(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, start, end, edits) of every occurrence, in code points of the text."""
@@ -134,34 +135,35 @@ class Benchmark:
             yield text, item, int(at[start]), int(at[end - 1]) + 1, edits
 
     def _candidates(self, codes: np.ndarray, edge: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        # Bands come in rising order: where the last occurrence of the item ends, the next may start.
+        ends: dict[tuple[int, int], int] = {}
         for text, item, low in sorted(self._bands(codes, edge) | self._short(codes, edge)):
-            spans = seen.setdefault((text, item), [])
-            if any(low <= start < low + 2 * self.band for start, _ in spans):
-                continue  # the band below has found what lies in this one
+            free, high = ends.get((text, item), 0), low + 2 * int(self.width[item]) - 1
+            if free > high + int(self.edits[item]):
+                continue  # a band below has found what lies in this one
             own = codes[edge[text] : edge[text + 1] - 1]
-            found = self._as_it_is(item, own, low) or self._with_edits(item, own, low)
-            if found and all(found[1] <= a or found[0] >= b for a, b in spans):
-                spans.append(found[:2])
+            found = self._as_it_is(item, own, max(low, free), high) or self._with_edits(item, own, free, low, high)
+            if found:
+                ends[text, item] = found[1]
                 yield text, item, *found
 
-    def _as_it_is(self, item: int, own: np.ndarray, low: int) -> tuple[int, int, int] | None:
-        pattern, floor = self.items[item], max(low, 0)
-        region, wanted, at = own[floor : max(low + 2 * self.band, 0) + len(pattern)].tobytes(), pattern.tobytes(), -1
+    def _as_it_is(self, item: int, own: np.ndarray, floor: int, high: int) -> tuple[int, int, int] | None:
+        pattern = self.items[item]
+        region, wanted, at = own[floor : max(high + 1, 0) + len(pattern)].tobytes(), pattern.tobytes(), -1
         while (at := region.find(wanted, at + 1)) >= 0:
             if at % 4 == 0:
                 return floor + at // 4, floor + at // 4 + len(pattern), 0
         return None
 
-    def _with_edits(self, item: int, own: np.ndarray, low: int) -> tuple[int, int, int] | None:
-        pattern, limit = self.items[item], int(self.edits[item])
-        found = align(pattern, own, low, low + 2 * self.band - 1, limit) if limit else None
+    def _with_edits(self, item: int, own: np.ndarray, free: int, low: int, high: int) -> tuple[int, int, int] | None:
+        pattern, limit, rest = self.items[item], int(self.edits[item]), own[free:]
+        found = align(pattern, rest, low - free, high - free, limit) if limit else None
         if not found:
             return None
         edits, end = found
         # Back from the end, for the start.
-        _, length = align(pattern[::-1], own[:end][::-1], 0, 0, edits, anchored=True)
-        return end - length, end, edits
+        _, length = align(pattern[::-1], rest[:end][::-1], 0, 0, edits, anchored=True)
+        return free + end - length, free + end, edits
 
     def _bands(self, codes: np.ndarray, edge: np.ndarray) -> set[tuple[int, int, int]]:
         """(text, item, lowest diagonal) of the bands that reach the bound of their item."""
@@ -175,26 +177,22 @@ class Benchmark:
         count = self.count[rank]
         first = np.cumsum(count) - count
         entry = np.arange(int(count.sum())) + np.repeat(self.start[rank] - first, count)
-        item, diagonal = self.item[entry], np.repeat(at, count) - self.place[entry]
-        # Diagonals of one text and item start at text edge - item length: shifted, they are never negative.
-        shift = max((len(i) for i in self.items), default=0) + self.band
-        slot = (diagonal + shift) // self.band
-        slots = (len(codes) + shift) // self.band + 2
-        key, hits = np.unique(item * slots + slot, return_counts=True)
+        text = np.searchsorted(edge, at, "right") - 1
+        item, diagonal = self.item[entry], np.repeat(at - edge[text], count) - self.place[entry]
+        slot = diagonal // self.width[item]
+        pairs, pair = np.unique(np.repeat(text, count) * len(self.items) + item, return_inverse=True)
+        # The slot below the lowest one is left free, for the band that starts there.
+        base = int(slot.min()) - 1
+        slots = int(slot.max()) - base + 1
+        key, hits = np.unique(pair * slots + (slot - base), return_counts=True)
         # A band is a slot and the one above it.
         lower, place = np.concatenate([key, key - 1]), np.concatenate([hits, hits])
         band, back = np.unique(lower, return_inverse=True)
         total = np.bincount(back, place, len(band))
-        band = band[total >= self.bound[(band // slots).clip(0)]]
-        out = set()
-        for k in band.tolist():
-            item_of, low = k // slots, (k % slots) * self.band - shift
-            # The diagonal says where the item would start; its text is that of its middle.
-            middle = min(max(low + self.band + len(self.items[item_of]) // 2, 0), len(codes) - 1)
-            for probe in {middle, max(0, low), min(len(codes) - 1, low + 2 * self.band + len(self.items[item_of]))}:
-                text = int(np.searchsorted(edge, probe, "right")) - 1
-                out.add((text, item_of, low - int(edge[text])))
-        return out
+        text, item = np.divmod(pairs[band // slots], len(self.items))
+        low = (band % slots + base) * self.width[item]
+        reached = total >= self.bound[item]
+        return set(zip(text[reached].tolist(), item[reached].tolist(), low[reached].tolist(), strict=True))
 
     def _short(self, codes: np.ndarray, edge: np.ndarray) -> set[tuple[int, int, int]]:
         """Items shorter than a q-gram: every place where they stand."""
