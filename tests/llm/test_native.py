@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import duckdb
@@ -112,6 +113,22 @@ def test_edits_do_not_move_other_anchors(spark):
     assert got[2]["s"] > 0.97 and got[2]["l"] > 0.9 and got[3]["s"] < 0.05 and got[3]["l"] < 0.1
 
 
+def near_next(spark, pairs):
+    rows = [(2 * i + 1 - j, t) for i, pair in enumerate(pairs) for j, t in enumerate(pair)]
+    got = {r["doc_id"]: r["near_next"] for r in edit_report(documents(spark, rows)).collect()}
+    return [got[2 * i + 1] for i in range(len(pairs))]
+
+
+def test_near_copies_of_any_length_and_script(spark):
+    rng = random.Random(6)
+    words = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    solid, burmese = ("".join(rng.choice(c) for _ in range(2000)) for c in ("abcdefghijklmnopqrstuvwxyz0123456789+/", "ကခဂဃငစဆဇဈညတထဒဓန"))
+    pairs = [(words[:260], words[:250]), (words[:250], words[:260]), (words[:300], words[:200])]
+    pairs += [(t, t[:900] + "xyz" + t[901:]) for t in (solid, burmese)]
+    got = near_next(spark, pairs)
+    assert min(got[:2]) > 0.85 and 0.4 < got[2] < 0.9 and min(got[3:]) > 0.8
+
+
 def by_rules(url):
     host = path = ""
     if url and "://" in url:

@@ -1,7 +1,7 @@
 """Document fingerprints from closed syncmers. Built-in functions only.
 
-A k-mer of tokens is kept when the smallest of the s-mers within it is its first or its last one. Whether it is kept
-depends on its own tokens alone, so an edit elsewhere never moves the anchors. A fingerprint holds the SKETCH largest
+A k-mer of characters is kept when the smallest of the s-mers within it is its first or its last one. Whether it is kept
+depends on its own characters alone, so an edit elsewhere never moves the anchors. A fingerprint holds the SKETCH largest
 anchor hashes, which serves likeness; the marks keep the places of all anchors for positional matching.
 """
 
@@ -13,62 +13,48 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 4
-S = 2
+#: Characters of a k-mer and of an s-mer.
+K = 10
+S = 5
 SKETCH = 64
-#: Texts of at most this many characters are read character by character, longer ones word by word.
-SHORT_CHARS = 256
+#: Bits of a place in packed anchors; texts of more characters than that do not fit a row of arrays.
+PLACE = 27
 #: Rows of one ordered slice when neighbours in id order are looked up, and the most slices.
 SLICE_ROWS = 250
 MOST_SLICES = 8192
-#: Scripts written without blanks: each character is a token.
-UNSPACED = r"([\x{2E80}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{0E00}-\x{0EFF}\x{1780}-\x{17FF}])"
 
 
-def tokens(text: str) -> F.Column:
-    spaced = F.when(F.col(text).rlike(UNSPACED), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(F.col(text))
-    words = F.split(F.lower(F.btrim(spaced, F.lit(" \t\n\x0b\x0c\r"))), r"[\x20\x09-\x0D]+", -1)
-    characters = F.slice(F.split(text, "", -1), F.lit(1), F.length(text))
-    return F.when(F.length(text) <= SHORT_CHARS, characters).otherwise(words)
+def plain(text: str) -> F.Column:
+    """The text in lower case, with runs of white space as one blank and none at the ends."""
+    return F.btrim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " "))
 
 
 def with_marks(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds `out`: for every k-mer of tokens its hash if it is a closed syncmer, else NULL; the index is its place. A text
-    of fewer than k tokens has one mark, an empty one none. `text` must not be null. With k <= 2 s the s-mers at both ends
-    cover the k-mer, so their hashes make its hash."""
+    """Adds `out`: for every k-mer of characters its hash if it is a closed syncmer, else NULL; the index is its place. A text
+    of fewer than k characters has one mark, an empty one none. `text` must not be null. With k <= 2 s the s-mers at both
+    ends cover the k-mer, so their hashes make its hash."""
     if not s < k <= 2 * s:
         raise ValueError("Closed syncmers here need s < k <= 2 s")
-    h, m, low, edge, kmer = (f"_{out}_{x}" for x in ("hashes", "inner", "least", "edge", "kmer"))
-    width = k - s + 1
-    count = f"greatest(size({m}) - {width - 1}, 0)"
-    df = df.withColumn(h, F.transform(tokens(text), lambda w: F.xxhash64(w)))
-    # Tokens are folded into s-mers one after the other by shifted copies of the array.
-    inner = h
-    for i in range(1, s):
-        inner = f"zip_with({inner}, slice({h}, {i + 1}, size({h})), (a, b) -> xxhash64(a, b))"
-    df = df.withColumn(m, F.expr(f"slice({inner}, 1, greatest(size({h}) - {s - 1}, 0))"))
-    # Least of `width` neighbours by doubling the reach of minima.
-    reach, least = 1, m
-    while reach < width:
-        step = min(reach, width - reach)
-        least = f"zip_with({least}, slice({least}, {step + 1}, size({m})), (a, b) -> least(a, b))"
-        reach += step
-    last = f"slice({m}, {width}, size({m}))"
-    df = df.withColumns(
-        {
-            low: F.expr(f"slice({least}, 1, {count})"),
-            edge: F.expr(f"slice(zip_with({m}, {last}, (a, b) -> least(a, b)), 1, {count})"),
-            kmer: F.expr(f"slice(zip_with({m}, {last}, (a, b) -> shiftrightunsigned(xxhash64(a, b), 16)), 1, {count})"),
-        }
-    )
-    marks = f"zip_with(zip_with({low}, {edge}, (l, e) -> l = e), {kmer}, (closed, x) -> if(closed, x, NULL))"
-    few = f"if(size({h}) = 0, cast(array() as array<bigint>), array(shiftrightunsigned(aggregate({h}, 0L, (a, x) -> xxhash64(a, x)), 16)))"
-    return df.withColumn(out, F.expr(f"if(size({h}) < {k}, {few}, {marks})")).drop(h, m, low, edge, kmer)
+    own, m, last = f"_{out}_plain", f"_{out}_inner", k - s
+    df = df.withColumn(own, plain(text))
+    inner = F.transform(F.regexp_extract_all(own, F.lit(f"(?s)(?=(.{{{s}}}))."), F.lit(1)), lambda w: F.xxhash64(w))
+    df = df.withColumn(m, inner)
+    between = [f"v[i + {j}]" for j in range(1, last)]
+    closed = f"least(x, v[i + {last}]) <= {f'least({", ".join(between)})' if len(between) > 1 else ''.join(between)}" if between else "true"
+    mark = f"if({closed}, shiftrightunsigned(xxhash64(x, v[i + {last}]), 16), CAST(NULL AS BIGINT))"
+    marks = f"transform(array({m}), v -> transform(slice(v, 1, size(v) - {last}), (x, i) -> {mark}))[0]"
+    few = f"if({own} = '', cast(array() as array<bigint>), array(shiftrightunsigned(xxhash64({own}), 16)))"
+    return df.withColumn(out, F.expr(f"if(size({m}) <= {last}, {few}, {marks})")).drop(own, m)
+
+
+def _with_later(array: str, fold: str) -> str:
+    """`array` zipped with itself from one place later on; `array` is worked out once."""
+    return f"transform(array({array}), v -> zip_with(v, slice(v, 2, size(v)), {fold}))[0]"
 
 
 def sketch(marks: str) -> F.Column:
     """The SKETCH largest distinct anchor hashes (48 bits), in falling order, as hexadecimal."""
-    short = f"array_compact(slice(sort_array(array_distinct({marks}), false), 1, {SKETCH}))"
+    short = f"slice(sort_array(array_distinct(array_compact({marks})), false), 1, {SKETCH})"
     return F.expr(f"transform({short}, x -> lpad(lower(hex(x)), 12, '0'))")
 
 
@@ -80,10 +66,41 @@ def likeness(a: str, b: str) -> F.Column:
         ELSE size(array_intersect({union}, array_intersect({a}, {b}))) / cast(size({union}) as double) END""")
 
 
+def _anchors(marks: str) -> str:
+    """The anchors of an array of marks, packed: hash (35 bits), place, and a bit for the side."""
+    return f"array_compact(transform({marks}, (x, i) -> shiftleft(x & {(1 << 35) - 1}L, {PLACE + 1}) | (2L * i)))"
+
+
+def _matched(a: str, b: str, value: str) -> F.Column:
+    """`value` of na and nb (anchors of each side) and ma and mb (those of them that the other side has in place).
+
+    Anchors of one hash are paired with their neighbours by place. A pair counts if both stand at the same place, or if
+    another pair has the same place difference: text moved as a whole is in place, lone coincidences are not."""
+    mask, zero = (1 << PLACE) - 1, 1 << PLACE
+    place = f"(shiftright(%s, 1) & {mask}L)"
+    x, y = place % "x", place % "y"
+    both = f"sort_array(concat({a}, transform({b}, x -> x | 1L)))"
+    # Place difference and place in a, packed.
+    pair = f"if((x & 1L) = 0, shiftleft({y} - {x} + {zero}L, {PLACE}) | {x}, shiftleft({x} - {y} + {zero}L, {PLACE}) | {y})"
+    pairs = _with_later(both, f"(x, y) -> if((x & 1L) != (y & 1L) AND shiftright(x, {PLACE + 1}) = shiftright(y, {PLACE + 1}), {pair}, CAST(NULL AS BIGINT))")
+    same = f"shiftright(x, {PLACE}) = shiftright(y, {PLACE})"
+    kept = f"""transform(array(sort_array(array_compact({pairs}))), p -> array_compact(concat(filter(p, x -> shiftright(x, {PLACE}) = {zero}L),
+        zip_with(p, slice(p, 2, size(p)), (x, y) -> if({same}, x, CAST(NULL AS BIGINT))),
+        zip_with(p, slice(p, 2, size(p)), (x, y) -> if({same}, y, CAST(NULL AS BIGINT))))))[0]"""
+    counts = f"""transform(array({kept}), p -> named_struct('na', size({a}), 'nb', size({b}),
+        'ma', size(array_distinct(transform(p, x -> x & {mask}L))),
+        'mb', size(array_distinct(transform(p, x -> (x & {mask}L) + shiftright(x, {PLACE}))))))"""
+    return F.expr(f"transform({counts}, c -> {value})[0]")
+
+
+def alike_in_place(a: str, b: str) -> F.Column:
+    """Likeness of two arrays of anchors: those matched in place over all of both. Two empty ones are alike (1)."""
+    return _matched(a, b, "CASE WHEN c.na + c.nb = 0 THEN 1.0D ELSE least(c.ma, c.mb) / cast(c.na + c.nb - least(c.ma, c.mb) as double) END")
+
+
 def aligned_share(a: str, b: str) -> F.Column:
-    """Positional matching of two arrays of marks: of the anchors of `a`, the share that `b` has at the same place."""
-    same = f"size(filter(zip_with({a}, {b}, (x, y) -> x = y), x -> x))"
-    return F.expr(f"if(size(array_compact({a})) = 0, 0.0D, {same} / cast(size(array_compact({a})) as double))")
+    """Positional matching of two arrays of marks: of the anchors of `a`, the share that `b` has in place."""
+    return _matched(_anchors(a), _anchors(b), "if(c.na = 0, 0.0D, c.ma / cast(c.na as double))")
 
 
 def slices(df: DataFrame, id: str) -> DataFrame:
@@ -108,7 +125,8 @@ def with_next(
     """Adds next_<column>: the values of the row with the next smaller id (ties by `ties`); after the last comes the first.
 
     Rows are ordered within slices of the id range; the first row of every slice is copied to the slice above it as well,
-    so no slice has to see another and no window holds more than a slice. `prepare` adds columns before rows are moved.
+    so no slice has to see another and no window holds more than a slice. `prepare` adds columns where the rows have been
+    moved to, so what it adds is not moved.
     """
     cut = slices(df, id)
     order = [F.col(id).desc_nulls_last(), *[F.col(t) for t in ties]]
@@ -125,7 +143,9 @@ def with_next(
     copies = candidates.withColumn("_first", first).where("_first").withColumn("_slice", F.col("_above"))
     rows = cut.withColumn("_copy", F.lit(0)).unionByName(copies.select(*cut.columns, F.lit(1).alias("_copy")))
     window = Window.partitionBy("_slice").orderBy("_copy", *order)
-    ahead = prepare(rows).withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
+    # A whole number: windows over doubles want them normalised, and would move the rows again.
+    moved = rows.withColumn("_slice", F.col("_slice").cast("int")).repartition("_slice")
+    ahead = prepare(moved).withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
     return ahead.where("_copy = 0").drop("_copy", "_slice")
 
 
@@ -144,21 +164,25 @@ def _with_sketch(df: DataFrame, text: str = "text", out: str = "sketch") -> Data
     return with_marks(df, text, f"{out}_marks").withColumn(out, sketch(f"{out}_marks"))
 
 
+def _with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    return _with_sketch(df, text, f"{out}_sketch").withColumn(f"{out}_anchors", F.expr(_anchors(f"{out}_sketch_marks"))).drop(f"{out}_sketch_marks")
+
+
 def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of all documents, of the same documents with their last third replaced by the start of the next one
     (descending id, ties by text, the first after the last), and the likeness of both and of neighbours."""
     rows = _texts(df, id, text).withColumn("_tie", F.xxhash64("text"))
-    rows = with_next(rows, "_id", ["text", "sketch"], ["_tie", "text"], lambda x: _with_sketch(x).drop("sketch_marks"))
+    rows = with_next(rows, "_id", ["text", "own_sketch"], ["_tie", "text"], lambda x: _with_anchors(x, "text", "own"))
     third = "n_chars div 3"
     edited = F.expr(f"concat(left(text, int(n_chars - {third})), left(next_text, int({third})))")
     rows = rows.withColumn("edited", edited).drop("text", "next_text")
-    rows = _with_sketch(rows, "edited", "edited_sketch").drop("edited_sketch_marks")
+    rows = _with_anchors(rows, "edited", "edited")
     return rows.select(
         F.col("_id").alias(id),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.array_join("sketch", "").alias("fingerprint"),
+        F.array_join("own_sketch", "").alias("fingerprint"),
         F.array_join("edited_sketch", "").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        likeness("own_sketch", "edited_sketch").alias("near_edited"),
+        likeness("own_sketch", "next_own_sketch").alias("near_next"),
     )
