@@ -126,7 +126,20 @@ def test_near_copies_of_any_length_and_script(spark):
     pairs = [(words[:260], words[:250]), (words[:250], words[:260]), (words[:300], words[:200])]
     pairs += [(t, t[:900] + "xyz" + t[901:]) for t in (solid, burmese)]
     got = near_next(spark, pairs)
-    assert min(got[:2]) > 0.85 and 0.4 < got[2] < 0.9 and min(got[3:]) > 0.8
+    assert min(got[:2]) > 0.9 and 0.6 < got[2] < 0.7 and min(got[3:]) > 0.95
+
+
+def test_anchors_match_in_place_over_the_whole_text(spark):
+    rng = random.Random(7)
+
+    def prose(n):
+        return [f"{rng.choice('bcdfg')}{rng.randrange(10**5)}" for _ in range(n)]
+
+    long, passage = prose(5000), prose(80)
+    moved = (" ".join(long), " ".join(["one", *long[:2500], "inserted", *long[2500:]]))
+    shared = tuple(" ".join(prose(a) + passage + prose(b)) for a, b in ((1000, 3000), (3500, 500)))
+    twice = near_next(spark, [moved, shared, (" ".join(prose(4000)), " ".join(prose(4000)))])
+    assert twice[0] > 0.99 and 80 / 8080 * 0.7 < twice[1] < 80 / 8080 * 1.3 and twice[2] == 0
 
 
 def by_rules(url):

@@ -1,8 +1,8 @@
 """Document fingerprints from closed syncmers. Built-in functions only.
 
 A k-mer of characters is kept when the smallest of the s-mers within it is its first or its last one. Whether it is kept
-depends on its own characters alone, so an edit elsewhere never moves the anchors. A fingerprint holds the SKETCH largest
-anchor hashes, which serves likeness; the marks keep the places of all anchors for positional matching.
+depends on its own characters alone, so an edit elsewhere never moves the anchors. The marks keep the places of all anchors:
+two texts are alike as far as their anchors match in place. A fingerprint holds the SKETCH largest anchor hashes.
 """
 
 from __future__ import annotations
@@ -170,9 +170,9 @@ def _with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
 
 def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of all documents, of the same documents with their last third replaced by the start of the next one
-    (descending id, ties by text, the first after the last), and the likeness of both and of neighbours."""
+    (descending id, ties by text, the first after the last), and the likeness in place of both and of neighbours."""
     rows = _texts(df, id, text).withColumn("_tie", F.xxhash64("text"))
-    rows = with_next(rows, "_id", ["text", "own_sketch"], ["_tie", "text"], lambda x: _with_anchors(x, "text", "own"))
+    rows = with_next(rows, "_id", ["text", "own_anchors"], ["_tie", "text"], lambda x: _with_anchors(x, "text", "own"))
     third = "n_chars div 3"
     edited = F.expr(f"concat(left(text, int(n_chars - {third})), left(next_text, int({third})))")
     rows = rows.withColumn("edited", edited).drop("text", "next_text")
@@ -183,6 +183,6 @@ def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
         F.sha2("edited", 256).alias("edited_sha256"),
         F.array_join("own_sketch", "").alias("fingerprint"),
         F.array_join("edited_sketch", "").alias("edited_fingerprint"),
-        likeness("own_sketch", "edited_sketch").alias("near_edited"),
-        likeness("own_sketch", "next_own_sketch").alias("near_next"),
+        alike_in_place("own_anchors", "edited_anchors").alias("near_edited"),
+        alike_in_place("own_anchors", "next_own_anchors").alias("near_next"),
     )
