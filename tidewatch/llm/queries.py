@@ -13,6 +13,7 @@ from tidewatch.llm.fingerprints import edit_report
 from tidewatch.llm.jaccard import ngram_components
 from tidewatch.llm.language import fit_language_model, identify
 from tidewatch.llm.packing import pack
+from tidewatch.llm.piecewise import piece_report
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.quality import fit_quality_model, score_quality
 from tidewatch.llm.secrets import scan_secrets, secret_report
@@ -96,3 +97,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
