@@ -19,6 +19,7 @@ from tidewatch.llm.quality import fit_quality_model, score_quality
 from tidewatch.llm.secrets import scan_secrets, secret_report
 from tidewatch.llm.tokens import count_tokens
 from tidewatch.llm.urls import judge_urls
+from tidewatch.llm.whitening import whitening_report
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -102,3 +103,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings"))
