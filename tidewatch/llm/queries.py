@@ -17,6 +17,7 @@ from tidewatch.llm.piecewise import piece_report
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.quality import fit_quality_model, score_quality
 from tidewatch.llm.secrets import scan_secrets, secret_report
+from tidewatch.llm.spelling import spelling_variants
 from tidewatch.llm.tokens import count_tokens
 from tidewatch.llm.urls import judge_urls
 from tidewatch.llm.whitening import whitening_report
@@ -108,3 +109,8 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
