@@ -73,6 +73,17 @@ def test_whole_texts_need_no_split_at_blanks(encoder, library, monkeypatch):
     check(encoder, library, mixed_texts(["the", " ", "   ", "of", "\n", "é", "😀"], 200, 60, 13))
 
 
+def test_rare_and_long_words_go_one_by_one(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(piecewise, "COLUMNS", 40)
+    monkeypatch.setattr(piecewise, "SHORT", 9)
+    monkeypatch.setattr(piecewise, "SLOT_BITS", 3)
+    encoder = Encoder(vocabulary)
+    assert encoder.can_step("▁the") and not encoder.can_step("é")
+    pieces = [library.id_to_piece(i) for i in range(259, 32000, 7)]
+    rng = random.Random(16)
+    check(encoder, library, ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 8))) for _ in range(600)])
+
+
 def test_small_caches_change_nothing(encoder, library, monkeypatch):
     monkeypatch.setattr(piecewise, "CACHE_WORDS", 3)
     monkeypatch.setattr(piecewise, "CACHE_PAIRS", 5)

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -30,11 +32,21 @@ from tidewatch.llm.batches import pieces as text_pieces
 
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
+#: Longer words are encoded one by one.
+SHORT = 64
 #: Words, and characters of words, that one worker keeps before its cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 8_000_000
 #: Compatibility answers that one worker keeps.
 CACHE_PAIRS = 2_000_000
+#: Tokens of a pair, and a token with its length, are packed into one number each.
+PAIR_BITS = 32
+LENGTH_BITS = 16
+LENGTH_MASK = (1 << LENGTH_BITS) - 1
+#: Characters that the automaton in arrays has steps for.
+COLUMNS = 250
+#: Places (as a power of 2) for the answers of the latest pairs.
+SLOT_BITS = 18
 #: Ids gathered into one output batch.
 BATCH_IDS = 1_000_000
 
@@ -87,10 +99,14 @@ class Encoder:
         for text, i in self.id.items():
             if len(text) > 1 and (history := self._history(text)) is not None:
                 self.merges[i] = history
-                self.automaton.add_word(text, (i, len(text)))
+                self.automaton.add_word(text, (i << LENGTH_BITS) + len(text))
         self.automaton.make_automaton()
+        # What a token takes of a text; characters, at the end, take one.
+        self.lengths = np.array([*(len(t) for t in vocabulary.texts), 1], np.int64)
+        self._steps()
         self.splits = not any(BLANK in t.lstrip(BLANK) for t in self.id)
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.asked, self.answered = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, bool)
 
     def _history(self, text: str) -> tuple[list[tuple[float, str]], list[tuple[float, str]]] | None:
         """The merges that make a piece, each with its score and the first and the last symbol before it; None when the
@@ -144,12 +160,13 @@ class Encoder:
             else:
                 j += 1
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text whose blanks are marks already."""
+    def encode(self, text: str) -> array:
+        """Ids of one text whose blanks are marks already."""
         last = array("i", [0])
-        last.extend([-1 - ord(c) for c in text] if len(text) < 100_000 else (-1 - ord(c) for c in text))
+        last.extend(-1 - ord(c) for c in text)
         compatible = self.compatible
-        for end, (token, length) in self.automaton.iter(text):
+        for end, found in self.automaton.iter(text):
+            token, length = found >> LENGTH_BITS, found & LENGTH_MASK
             start = end + 1 - length
             if last[end + 1] < 0 and (not start or compatible(last[start], token)):
                 last[end + 1] = token
@@ -161,14 +178,135 @@ class Encoder:
                 at -= len(self.texts[token])
             else:
                 at -= 1
-                c = text[at]
-                if c in self.id:
-                    ids.append(self.id[c])
-                else:
-                    ids.extend(self.bytes[b] for b in reversed(c.encode()))
+                ids.extend(reversed(self.ids_of_character(-token - 1)))
         ids.reverse()
         return ids
 
+    def ids_of_character(self, code: int) -> list[int]:
+        c = chr(code)
+        return [self.id[c]] if c in self.id else [self.bytes[b] for b in c.encode()]
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, ids of all of them): the same table, filled for all texts place by place. They hold
+        only characters that the steps of the automaton know (`can_step`)."""
+        length = np.array([len(t) for t in texts], np.int64)
+        end = np.cumsum(length)
+        begin = end - length
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        column = self.column[np.minimum(codes, len(self.column) - 1)]
+        # Entry i is the last token of the text up to its i-th character, over all texts in a row; openings are never read.
+        last = np.append(0, -1 - codes.astype(np.int64))
+        # Longest first, so that those still read are the first ones.
+        order = np.argsort(-length, kind="stable")
+        left = np.searchsorted(-length[order], -np.arange(1, int(length.max(initial=0)) + 1), "right")
+        state = np.zeros(len(texts), np.int32)
+        for p, n in enumerate(left.tolist()):
+            here = begin[order[:n]] + p
+            state = self.step[state[:n], column[here]]
+            found, at = self.longest[state], here
+            open = np.flatnonzero(found)
+            while len(open):
+                token, at = self.ends[found[open]], here[open]
+                start = at + 1 - self.lengths[token]
+                fits = start == at - p
+                inner = np.flatnonzero(~fits)
+                fits[inner] = self._all_apart(last[start[inner]], token[inner])
+                last[at[fits] + 1] = token[fits]
+                found[open] = self.shorter[found[open]]
+                open = open[~fits]
+                open = open[found[open] > 0]
+        # Backwards, one token of every text at a time.
+        at, active, rows = end.copy(), np.flatnonzero(length), []
+        while len(active):
+            here = last[at[active]]
+            rows.append((active, here))
+            at[active] -= self.lengths[np.maximum(here, -1)]
+            active = active[at[active] > begin[active]]
+        if not rows:
+            return np.zeros(len(texts), np.int64), np.zeros(0, np.int32)
+        step = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+        owner, tokens = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+        order = np.lexsort((-step, owner))
+        owner, tokens = owner[order], tokens[order]
+        return self._with_characters(owner, tokens, len(texts))
+
+    def _all_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`compatible` for many pairs; the answers to the latest ones stand in a table by hash."""
+        pair = (left << PAIR_BITS) + right
+        slot = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        new = np.flatnonzero(self.asked[slot] != pair)
+        if len(new):
+            fresh, which = np.unique(pair[new], return_inverse=True)
+            sides = zip((fresh >> PAIR_BITS).tolist(), (fresh & ((1 << PAIR_BITS) - 1)).tolist(), strict=True)
+            answer = np.array([self.compatible(a, b) for a, b in sides], bool)
+            out = self.answered[slot]
+            out[new] = answer[which]
+            self.asked[slot[new]], self.answered[slot[new]] = pair[new], out[new]
+            # Of several pairs with one slot the last one stays there, with its own answer.
+            return out
+        return self.answered[slot]
+
+    def _steps(self) -> None:
+        """The automaton as arrays: the step from every state by every column of characters, the longest piece that ends in
+        a state, and the next shorter one that ends there too. Columns are the COLUMNS most frequent characters of pieces
+        of several; the others of them cannot be stepped over, and all further characters lead to the start."""
+        pieces = {self.texts[i]: i for i in self.merges}
+        used = Counter(c for t in pieces for c in set(t))
+        columns = {c: k + 1 for k, (c, _) in enumerate(used.most_common(COLUMNS))}
+        self.rare = re.compile("[" + re.escape("".join(c for c in used if c not in columns)) + "]") if len(used) > COLUMNS else None
+        self.column = np.zeros(max(map(ord, columns), default=0) + 2, np.int64)
+        self.column[[ord(c) for c in columns]] = list(columns.values())
+        kept = sorted((t for t in pieces if all(c in columns for c in t)), key=len)
+        number = {"": 0}
+        for depth in range(1, max(map(len, kept), default=0) + 1):
+            for t in kept:
+                if len(t) >= depth:
+                    number.setdefault(t[:depth], len(number))
+        self.step = np.zeros((len(number), COLUMNS + 1), np.int32)
+        self.longest = np.zeros(len(number), np.int64)
+        self.ends, self.shorter = np.zeros(len(kept) + 1, np.int64), np.zeros(len(kept) + 1, np.int64)
+        place = {t: k + 1 for k, t in enumerate(kept)}
+        fall = np.zeros(len(number), np.int64)
+        # States come by depth: those a state falls back to are shorter, and complete once the next depth begins.
+        filled = 1
+        for text, state in number.items():
+            if not text:
+                continue
+            parent, c = number[text[:-1]], columns[text[-1]]
+            while filled <= parent:
+                self.step[filled] = self.step[fall[filled]]
+                filled += 1
+            fall[state] = self.step[fall[parent], c] if parent else 0
+            self.step[parent, c] = state
+            self.longest[state] = self.longest[fall[state]]
+            if text in place:
+                k = place[text]
+                self.ends[k], self.shorter[k], self.longest[state] = pieces[text], self.longest[fall[state]], k
+        for state in range(filled, len(number)):
+            self.step[state] = self.step[fall[state]]
+
+    def can_step(self, text: str) -> bool:
+        return self.rare is None or self.rare.search(text) is None
+
+    def _with_characters(self, owner: np.ndarray, tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids for tokens of which the negative ones are characters."""
+        single = np.flatnonzero(tokens < 0)
+        if not len(single):
+            return np.bincount(owner, minlength=n), tokens.astype(np.int32)
+        codes, which = np.unique(tokens[single], return_inverse=True)
+        own = [self.ids_of_character(-c - 1) for c in codes.tolist()]
+        size = np.ones(len(tokens), np.int64)
+        size[single] = np.array([len(o) for o in own])[which]
+        out = np.repeat(tokens, size)
+        inside = np.arange(len(out)) - np.repeat(np.cumsum(size) - size, size)
+        held = np.zeros((len(own), 4), np.int64)
+        for row, o in zip(held, own, strict=True):
+            row[: len(o)] = o
+        number = np.zeros(len(tokens), np.int64)
+        number[single] = which
+        out = np.where(out < 0, held[np.repeat(number, size), inside], out)
+        return np.bincount(owner, size, n).astype(np.int64), out.astype(np.int32)
+
 
 class Words:
     """Ids of words, kept by one worker process in flat arrays."""
@@ -180,7 +318,7 @@ class Words:
 
     def _clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids, self.start, self.chars = array("i"), array("q", [0]), 0
+        self.ids, self.start, self.chars = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts, each with the end id behind."""
@@ -191,13 +329,9 @@ class Words:
             own = self.pattern.findall(BLANK + t.replace(" ", BLANK)) if t else []
             words += own
             counts.append(len(own))
-        for word in set(words).difference(number):
-            number[word] = len(number)
-            self.ids.extend(self.encoder.encode(word))
-            self.start.append(len(self.ids))
-            self.chars += len(word)
-        which = np.array([number[w] for w in words], np.int64)
-        start = np.array(self.start, np.int64)
+        self._learn(set(words).difference(number))
+        which = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        start = self.start
         sizes = (start[1:] - start[:-1])[which] if len(which) else which
         # Every text takes one more place, for the end id.
         owner = np.repeat(np.arange(len(texts)), counts)
@@ -207,10 +341,24 @@ class Words:
         inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         target = np.ones(len(out), bool)
         target[offsets[1:] - 1] = False
-        out[target] = np.array(self.ids, np.int32)[inside + np.repeat(start[which], sizes)]
+        out[target] = self.ids[inside + np.repeat(start[which], sizes)]
         return offsets, out
 
 
+    def _learn(self, words: set[str]) -> None:
+        short, long = [], []
+        for w in words:
+            (short if len(w) <= SHORT and self.encoder.can_step(w) else long).append(w)
+        counts, ids = self.encoder.encode_many(short)
+        own = [np.array(self.encoder.encode(w), np.int32) for w in long]
+        sizes = np.concatenate([counts, np.array([len(o) for o in own], np.int64)])
+        for w in chain(short, long):
+            self.number[w] = len(self.number)
+        self.chars += sum(map(len, words))
+        self.ids = np.concatenate([self.ids, ids, *own])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+
+
 @lru_cache(maxsize=2)
 def worker_words(vocabulary: Vocabulary) -> Words:
     return Words(Encoder(vocabulary))
