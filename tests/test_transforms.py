@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,6 +8,7 @@ from tests.helpers import SCHEMA, close, collected, frame, series
 from tidewatch import load_series
 from tidewatch.operators.scale import fit_scaler, scale
 from tidewatch.operators.seasonal import decompose
+from tidewatch.operators.longspectrum import chirp, split
 from tidewatch.operators.spectral import spectral_features, top_frequencies
 from tidewatch.operators.wavelet import DB4_LOW, high_pass, wavelet_bands
 from tidewatch.plans.profiles import fallback_features, full_features, stream_features
@@ -76,6 +79,54 @@ def test_spectrum(spark, block):
         assert total == pytest.approx(power.sum())
 
 
+def test_lengths_split_into_factors_or_a_chirp():
+    assert split(3600, 16) == (3600, 60, 60, False)
+    assert split(97, 8) == (256, 16, 16, True) and split(97, 100) == (97, 1, 97, False)
+    for n in range(1, 400):
+        m, n1, n2, chirped = split(n, 8)
+        assert n1 * n2 == m and (m >= 2 * n - 1 if chirped else m == n) and n2 <= max(8, 2 * m**0.5)
+    t = np.array([0, 1, 5, 10**6 + 3, 3 * 10**9])
+    want = [np.exp(1j * np.pi * float(Fraction(int(v) ** 2 % (2 * 7_000_000_001), 7_000_000_001))) for v in t]
+    np.testing.assert_allclose(chirp(t, 7_000_000_001), want, atol=1e-12)
+
+
+@pytest.mark.parametrize("n", [6, 97, 120, 202])
+def test_spectrum_in_steps_equals_that_of_a_whole_array(spark, n):
+    pdf = frame(n, ["a", "b"], gaps=0.1)
+    pdf = pd.concat([pdf, frame(5, ["short"]), frame(n + 1, ["c"]).assign(x=7.0)])
+    s = series(spark, pdf, 40)
+    for dc in (True, False):
+        whole, steps = (spectral_features(s, include_dc=dc, **more).toPandas().sort_values("key") for more in ({}, {"whole_rows": 5, "piece": 8}))
+        assert list(whole.columns) == list(steps.columns) and (whole["rows"].to_numpy() == steps["rows"].to_numpy()).all()
+        flat = [c for c in whole if c.startswith("x") and "entropy" not in c]
+        close(whole[[c for c in whole if c.startswith("y")]], steps[[c for c in steps if c.startswith("y")]], 1e-6)
+        close(whole[flat].iloc[:2], steps[flat].iloc[:2], 1e-6)
+        a, b = (top_frequencies(s, "y", k=7, include_dc=dc, **more).orderBy("key", "rank").toPandas() for more in ({}, {"whole_rows": 5, "piece": 8}))
+        assert (a[["key", "rank"]].to_numpy() == b[["key", "rank"]].to_numpy()).all()
+        close(a[["freq", "magnitude"]], b[["freq", "magnitude"]], 1e-6)
+
+
+def test_no_group_of_the_steps_holds_a_series(spark, monkeypatch):
+    s = series(spark, frame(2400, ["a"]))
+    seen = []
+    from tidewatch.operators import longspectrum
+
+    original = longspectrum.pinned
+    monkeypatch.setattr(longspectrum, "pinned", lambda df: seen.append(df) or original(df))
+    spectral_features(s, ["x"], whole_rows=100, piece=128).collect()
+    plan = seen[0].collect()[0]
+    assert plan["n1"] * plan["n2"] == 2400 and max(plan["n1"], plan["n2"]) <= 128
+
+
+def test_spectrum_of_nothing(spark):
+    flat = series(spark, frame(130, ["a"]).assign(x=0.0))
+    for more in ({}, {"whole_rows": 5, "piece": 8}):
+        row = spectral_features(flat, ["x"], **more).first()
+        assert row["x_spectral_entropy"] is None and row["x_spectral_centroid"] is None and row["x_low_freq_energy"] == 0
+    empty = series(spark, frame(5, ["a"]))
+    assert spectral_features(empty.with_df(empty.df.limit(0)), ["x"]).count() == 0
+
+
 def test_spectrum_without_the_constant_part(spark):
     pdf = frame(64, ["a"])
     pdf["x"] = 50 + np.cos(2 * np.pi * 8 * np.arange(64) / 64)

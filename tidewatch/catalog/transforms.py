@@ -192,7 +192,8 @@ def spectral(spark, sf):
         {r('arg_max(freq, power)', 'dominant_freq')} FROM dft GROUP BY l_suppkey""",
 )
 def spectral_whole(spark, sf):
-    out = spectral_features(shipments(spark, sf), ["l_quantity"])
+    # Groups of at most 96 numbers: every series is transformed in steps.
+    out = spectral_features(shipments(spark, sf), ["l_quantity"], whole_rows=128, piece=96)
     out = out.select(
         "l_suppkey", F.col("l_quantity_spectral_centroid").alias("centroid"),
         F.col("l_quantity_dominant_freq").alias("dominant_freq"),
