@@ -81,6 +81,31 @@ def test_small_limits_send_everything_through_all_indexes(spark, monkeypatch):
     assert result(spark, rows) == brute(rows)
 
 
+def test_a_large_family_puts_out_few_links(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(2000):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randint(1, 3)):
+            own[at] = f"x{i}_{at}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    links = []
+    in_blocks = jaccard.in_blocks
+
+    def counted(*args):
+        out = in_blocks(*args)
+        links.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "in_blocks", counted)
+    got = result(spark, rows)
+    assert got == brute(rows)
+    # A set lies in two classes of at most six blocks, and a pair of blocks gives fewer links than it has sets.
+    assert sum(links) < 12 * len(rows)
+
+
 def test_awkward_rows(spark):
     assert result(spark, AWKWARD) == brute(AWKWARD)
     assert ngram_components(documents(spark).limit(0)).count() == 0
@@ -125,3 +150,11 @@ def test_keep_one_keeps_least_and_columns(spark):
     got = keep_one(df)
     assert got.columns == df.columns
     assert sorted((r["doc_id"] for r in got.collect()), key=repr) == sorted([2, 5, 6, None], key=repr)
+
+
+def test_keep_one_judges_every_text_of_an_id(spark):
+    w, u = (" ".join(f"{c}{i}" for i in range(30)) for c in "wu")
+    rows = [(1, w), (2, w), (2, u), (3, u), (4, None), (4, None), (5, ""), (None, w)]
+    got = keep_one(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted([(1, w), (2, u), (4, None), (5, ""), (None, w)], key=repr)
+    assert keep_one(documents(spark, rows).limit(0)).count() == 0

@@ -118,8 +118,8 @@ def handle_of(shingles: np.ndarray, clashes: frozenset[int]) -> tuple[int, bytes
 
 
 def described(docs: DataFrame, id: str, text: str, clashes: frozenset[int]) -> DataFrame:
-    """Per document: doc, set (16 bytes, NULL when empty), h (handle), n, band, and the empty segments that it has under its
-    band and, where it is used, under the one below."""
+    """Per document: doc, key (two hashes of its text), set (16 bytes, NULL when empty), h (handle), n, band, and the empty
+    segments that it has under its band and, where it is used, under the one below."""
     kind = dict(docs.dtypes)[id]
 
     def run(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -129,6 +129,7 @@ def described(docs: DataFrame, id: str, text: str, clashes: frozenset[int]) -> D
             empty = [[int((segments(s, b, False)[1] == 0).sum()) for b in bands_used(len(s))] for s in sets]
             yield {
                 "doc": part[id],
+                "key": part["_key"],
                 "set": [k[1] for k in keys],
                 "h": [k[0] for k in keys],
                 "n": [len(s) for s in sets],
@@ -137,8 +138,16 @@ def described(docs: DataFrame, id: str, text: str, clashes: frozenset[int]) -> D
                 "empty_below": [e[1] if len(e) > 1 else 0 for e in empty],
             }
 
-    schema = f"doc {kind}, set binary, h bigint, n bigint, band bigint, empty bigint, empty_below bigint"
-    return map_texts(docs.select(id, text), run, schema, text)
+    schema = f"doc {kind}, key {KEY}, set binary, h bigint, n bigint, band bigint, empty bigint, empty_below bigint"
+    return map_texts(docs.select(id, text, text_key(text).alias("_key")), run, schema, text)
+
+
+KEY = "struct<one: bigint, two: bigint>"
+
+
+def text_key(text: str) -> F.Column:
+    """128 bits that stand for a text."""
+    return F.struct(F.xxhash64(F.col(text)).alias("one"), F.xxhash64(F.lit(KEY), F.col(text)).alias("two"))
 
 
 #: Segments a set may skip and still be found by every partner that skips no more: the slack of its least partner.
@@ -225,19 +234,11 @@ def _unpacked(entries: bytes) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1].view(np.int64)
 
 
-def texts_of(docs: DataFrame, text: str, handles: DataFrame, clashes: frozenset[int]) -> DataFrame:
-    """h, n, text: one text for each of the sets in `handles`. Equal sets of one batch leave it once."""
-
-    def run(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for part in parts:
-            found: dict[int, tuple[int, str]] = {}
-            for t, s in zip(part[text], shingle_sets(part[text]), strict=True):
-                if len(s) >= 4:
-                    found.setdefault(handle_of(s, clashes)[0], (len(s), t))
-            yield {"h": list(found), "n": [n for n, _ in found.values()], "text": [t for _, t in found.values()]}
-
-    own = map_texts(docs.select(text), run, "h bigint, n bigint, text string", text)
-    return own.join(handles, "h", "left_semi").groupBy("h").agg(F.first("n").alias("n"), F.min("text").alias("text"))
+def texts_of(docs: DataFrame, text: str, handles: DataFrame, sets: DataFrame) -> DataFrame:
+    """h, n, text: one text for each of the sets in `handles`, found by its key; no text is read as a set for that."""
+    wanted = sets.join(handles, "h", "left_semi").select("h", "n", "key.*")
+    own = docs.select(F.col(text).alias("text"), text_key(text).alias("key")).select("text", "key.*")
+    return own.join(wanted, ["one", "two"]).dropDuplicates(["one", "two"]).select("h", "n", "text")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -301,7 +302,8 @@ def short_of_slack(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFrame:
     """Links between sets of one cluster. Sizes are put into classes a quarter apart, so links are within a class or with the
-    next one; the sets of a class and the next are cut into blocks, and each block meets every other once."""
+    next one; the sets of a class and the next are cut into blocks, and each block meets every other once. Only links that
+    connect what was apart come out: at most one less than a pair of blocks has sets."""
     rows = texts.join(clusters, "h").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
     rows = rows.withColumn("own", own).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") - 1)))
@@ -328,9 +330,13 @@ def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFr
             for row, s in zip(shape, sets, strict=True):
                 np.add.at(row, (mixed(s, 107) % np.uint64(width)).astype(np.int64), mixed(s, 108).astype(np.uint16))
         mixed_blocks = block.min() != block.max()
+        # Roots that pairs of this block have joined so far: what they connect is not compared again, so a block puts out
+        # fewer links than it has sets.
+        kin, number = np.unique(root, return_inverse=True)
+        group = np.arange(len(kin))
         for i in range(len(sets)):
             ahead = np.arange(i + 1, len(sets))
-            near = ahead[(root[ahead] != root[i]) & (4 * n[ahead] <= 5 * n[i]) & (5 * n[ahead] >= 4 * n[i])]
+            near = ahead[(group[number[ahead]] != group[number[i]]) & (4 * n[ahead] <= 5 * n[i]) & (5 * n[ahead] >= 4 * n[i])]
             near = near[first[near] | first[i]]
             if mixed_blocks:
                 near = near[block[near] != block[i]]
@@ -338,16 +344,19 @@ def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFr
                 apart = (shape[near] != shape[i]).sum(axis=1)
                 near = near[9 * apart <= n[near] + n[i]]
             for j in near.tolist():
-                if linked(sets[i], sets[j]):
+                mine, other = group[number[i]], group[number[j]]
+                if mine != other and linked(sets[i], sets[j]):
                     a.append(int(h[i]))
                     b.append(int(h[j]))
+                    group[group == other] = mine
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return spread.groupBy("cluster", "class", "low", "high").applyInArrow(meet, "a bigint, b bigint")
 
 
-def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of `docs`: `id`, n_shingles, component_id: the least id that links lead to, itself included.
+def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", keep_key: bool = False) -> DataFrame:
+    """Per row of `docs`: `id`, n_shingles, component_id: the least id that links lead to, itself included. With `keep_key`
+    also key, which stands for the text.
 
     Two documents link when 100 * intersection >= 80 * union of their sets of five-word shingles. Null or empty texts, and
     texts without words, have no shingles and are linked with nothing. Rows with a null id take part and are never the least
@@ -365,7 +374,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     while True:
         base = stored(described(docs, id, text, clashes), "sets")
         columns = [F.max(c).alias(c) for c in ("n", "band", "empty", "empty_below")]
-        same = [F.min("doc").alias("least"), F.min("set").alias("set"), F.max("set").alias("other"), *columns]
+        same = [F.min("doc").alias("least"), F.min("set").alias("set"), F.max("set").alias("other"), F.min("key").alias("key"), *columns]
         sets = stored(base.where("h IS NOT NULL").groupBy("h").agg(*same), "distinct")
         # Two sets in 2^64: none, or a handful in the largest tables.
         found = {r["h"] for r in sets.where("set <> other").select("h").collect()}
@@ -375,7 +384,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     held = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     keys = stored(repeated_keys(docs, text, False, held // 2, clashes), "keys")
     sparse = sets.where(f"greatest(empty, empty_below) > {ALLOWANCE}").select("h")
-    texts = stored(texts_of(docs, text, keys.select("h").union(sparse).distinct(), clashes), "texts")
+    texts = stored(texts_of(docs, text, keys.select("h").union(sparse).distinct(), sets), "texts")
 
     star = stored(verified(best_pivots(keys), texts), "star")
     roots = stored(connected(star), "roots")
@@ -401,17 +410,21 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         F.col("doc").alias(id),
         F.col("n").alias("n_shingles"),
         F.when(F.col("h").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"),
+        *(["key"] if keep_key else []),
     )
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, without those whose component has a smaller id; rows that repeat an id and its text
-    are one. Rows with a null id stay, as nothing tells them apart."""
-    found = ngram_components(docs, id, text).where(F.col(id).isNotNull())
-    marked = found.groupBy(F.col(id).alias("_id")).agg(
+    are one. Where an id has several texts, each is judged with its own component. Rows with a null id stay, as nothing tells
+    them apart; so do null and empty texts, once for an id; an empty table gives none."""
+    found = ngram_components(docs, id, text, keep_key=True).where(F.col(id).isNotNull())
+    marked = found.groupBy(F.col(id).alias("_id"), F.col("key.one").alias("_one"), F.col("key.two").alias("_two")).agg(
         F.min(F.col("component_id") == F.col(id)).alias("_least"), (F.count("*") > 1).alias("_again")
     )
     marked = marked.where("NOT _least OR _again")
-    rows = docs.join(marked, F.col(id) == F.col("_id"), "left").where("coalesce(_least, true)")
+    key = text_key(text)
+    same = (F.col(id) == F.col("_id")) & (key["one"] == F.col("_one")) & (key["two"] == F.col("_two"))
+    rows = docs.join(marked, same, "left").where("coalesce(_least, true)")
     once = rows.where("coalesce(_again, false)").dropDuplicates([id, text])
     return rows.where("NOT coalesce(_again, false)").unionByName(once).select(*docs.columns)

@@ -22,6 +22,11 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _places(n: int, seed: int) -> np.ndarray:
+    """An odd number for every place."""
+    return mixed(np.arange(n, dtype=np.uint64), seed + 6) | np.uint64(1)
+
+
 def shingle_sets(texts: list[str | None], seed: int = 0, words: int = WORDS) -> list[np.ndarray]:
     """Distinct shingles of each text, sorted; a text of fewer words has its whole sequence as the only one, and one
     without words none. A-Z are lowered; words are what stands between ASCII white space."""
@@ -35,15 +40,17 @@ def shingle_sets(texts: list[str | None], seed: int = 0, words: int = WORDS) ->
     length = end - start
     edge = np.cumsum(length) - length
     inside = np.arange(int(length.sum())) - np.repeat(edge, length)
-    letters = codes[inside + np.repeat(start, length)].astype(np.uint64)
-    word = np.add.reduceat(mixed(letters + (inside.astype(np.uint64) << np.uint64(8)), seed + 1), edge)
-    word = mixed(word + length.astype(np.uint64), seed + 2)
+    # A letter counts as its own number times that of its place in the word.
+    letter = mixed(np.arange(256, dtype=np.uint64), seed + 1)[codes[inside + np.repeat(start, length)]]
+    letter *= _places(int(length.max()), seed)[inside]
+    word = mixed(np.add.reduceat(letter, edge) + length.astype(np.uint64), seed + 2)
     # The text that a word belongs to: texts are joined by one blank each.
     first = np.cumsum([1, *[len(d) + 1 for d in data]])
     bounds = np.searchsorted(start, first)
     whole = np.zeros(max(len(word) - words + 1, 0), np.uint64)
-    for j in range(words):
-        whole = mixed(whole + word[j : j + len(whole)], seed + 3)
+    for j, place in enumerate(_places(words, seed + 5)):
+        whole += word[j : j + len(whole)] * place
+    whole = mixed(whole, seed + 3)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= words:
