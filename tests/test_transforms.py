@@ -145,7 +145,7 @@ def dwt(x):
     return tuple(np.array([sum(f[j] * at(2 * o + 1 - j) for j in range(8)) for o in outs]) for f in (low, high))
 
 
-@pytest.mark.parametrize("n", [8, 61, 64, 100])
+@pytest.mark.parametrize("n", [8, 9, 61, 64, 65, 100, 120])
 def test_wavelet(spark, n):
     pdf = frame(n, ["a"])
     got = {r["band"]: r for r in wavelet_bands(series(spark, pdf, 16), ["x"]).collect()}
