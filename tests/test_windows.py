@@ -6,6 +6,7 @@ from tests.helpers import close, collected, frame, series
 from tidewatch.operators import missing, project
 from tidewatch.operators.lags import lags
 from tidewatch.operators.rolling import STATS, roll, roll_pairs
+from tidewatch.plans.orderstats import WaveletMatrix, sliding
 
 
 def rolled(pdf, column, w, stat):
@@ -31,6 +32,40 @@ def test_rolling_equals_pandas(spark, block):
             close(got[f"x_roll_{stat}_{w}"], rolled(pdf, "x", w, stat), 1e-6)
 
 
+@pytest.mark.parametrize("block", [90, 1_000_000])
+def test_long_windows_by_rank_equal_pandas(spark, block, monkeypatch):
+    from tidewatch.operators import rolling
+
+    monkeypatch.setattr(rolling, "LONG_WINDOW", 6)
+    pdf = frame(260, gaps=0.01)
+    pdf["x"] = pdf["x"].round(0)
+    sizes = [3, 7, 64, 150]
+    got = collected(roll(series(spark, pdf, block), ["x", "y"], sizes))
+    for w in sizes:
+        for column in ("x", "y"):
+            for stat in ("median", "q25", "q75", "iqr", "min", "max", "mean"):
+                close(got[f"{column}_roll_{stat}_{w}"], rolled(pdf, column, w, stat), 1e-6)
+    assert collected(roll(series(spark, frame(5)), ["x"], [7])).filter(like="roll").isna().all().all()
+
+
+def test_ranks_of_windows():
+    rng = np.random.default_rng(4)
+    for n, distinct in ((1, 1), (50, 3), (300, 200)):
+        ranks = rng.integers(0, distinct, n)
+        matrix = WaveletMatrix(ranks)
+        low = rng.integers(0, n, 60)
+        high = np.array([rng.integers(a, n) + 1 for a in low])
+        for k in range(3):
+            fits = high - low > k
+            assert (matrix.kth(low[fits], high[fits], k) == [np.sort(ranks[a:b])[k] for a, b in zip(low[fits], high[fits])]).all()
+    x = rng.normal(size=5000)
+    x[rng.integers(0, 5000, 2)] = np.nan
+    got = sliding(x, [1440], [0.5, 0.25])
+    for q in (0.5, 0.25):
+        want = pd.Series(x).rolling(1440).quantile(q)
+        close(got[1440, q].filled(np.nan), want)
+
+
 def test_constant_windows(spark):
     pdf = frame(30, ["a"]).assign(x=5.0)
     got = collected(roll(series(spark, pdf), ["x"], [10]))

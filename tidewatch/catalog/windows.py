@@ -23,7 +23,7 @@ from tidewatch.operators import missing, project
 from tidewatch.operators.detect import sensor_summary
 from tidewatch.operators.lags import lags
 from tidewatch.operators.rolling import WINDOWS, roll, roll_pairs
-from tidewatch.plans.series import numeric_columns
+from tidewatch.plans.series import load_series, numeric_columns
 
 KEYS = ["event_type", "event_id"]
 _IN_SQL = {
@@ -70,6 +70,33 @@ _roll_query("roll_skew", ["skew"], list(WINDOWS))
 _roll_query("roll_kurt", ["kurt"], list(WINDOWS))
 _roll_query("roll_quartiles", ["q25", "q75", "iqr"], list(WINDOWS))
 
+_DAY = ["median", "q25", "q75", "iqr", "min", "max"]
+
+
+@query(
+    "roll_day_quantiles",
+    _roll_sql(LONG_SQL, "event_type", "ts, event_id", "event_type, event_id", "value", _DAY, [240, 1440]),
+)
+def roll_day_quantiles(spark, sf):
+    """Windows of a day of minutes."""
+    out = roll(long_series(spark, sf), windows=[240, 1440], stats=_DAY)
+    return rounded(out.drop("ts", "value"), KEYS)
+
+
+@query(
+    "roll_day_in_blocks",
+    _roll_sql(
+        "SELECT 'all' AS series, event_id, CAST(ts AS TIMESTAMP) AS ts, value FROM events", "series", "ts, event_id", "event_id", "value",
+        ["median", "q25", "max"], [5, 500],
+    ),
+)
+def roll_day_in_blocks(spark, sf):
+    """Long and short windows side by side over one series, in blocks shorter than the window."""
+    events = table(spark, sf, "events").select("event_id", "ts", "value")
+    out = roll(load_series(events, [], "ts", "event_id", ["value"], 400), windows=[5, 500], stats=["median", "q25", "max"])
+    return rounded(out.drop("ts", "value", "series"), ["event_id"])
+
+
 _ALL = ["mean", "std", "min", "max", "median", "skew", "kurt", "q25", "q75", "iqr"]
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import any_of
-from tidewatch.operators.rolling import quantile_of_sorted, sorted_windows
+from tidewatch.operators.rolling import rolling_median
 from tidewatch.plans.doubling import Moments, add_summaries, summary
 from tidewatch.plans.layout import Frames
 from tidewatch.plans.series import Series
@@ -117,12 +117,10 @@ def robust_z_detector(
 
     def plan(df: DataFrame, frames: Frames) -> DataFrame:
         kept = [f"`{c}`" for c in df.columns]
-        df, cells = sorted_windows(df, frames, [column], [window])
-        median = quantile_of_sorted(cells[column, window], window, 0.5)
+        df, median = rolling_median(df, frames, column, window)
         df = df.selectExpr(*kept, f"`{column}` - ({median}) AS _off")
         df = df.selectExpr("*", "abs(_off) AS _dev")
-        df, cells = sorted_windows(df, frames, ["_dev"], [window])
-        mad = quantile_of_sorted(cells["_dev", window], window, 0.5)
+        df, mad = rolling_median(df, frames, "_dev", window)
         z = f"coalesce(0.6745D * _off / (({mad}) + 1e-9D), 0D)"
         out = [f"abs({z}) > {float(t)!r}D AS `{flag}`"]
         if score:

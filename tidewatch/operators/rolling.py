@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from tidewatch.plans.doubling import CoMoments, Extremes, Moments, add_summaries, extended, summary
 from tidewatch.plans.layout import Frames
+from tidewatch.plans.orderstats import LONG_WINDOW, quantile_name, with_quantiles
 from tidewatch.plans.series import Series
 
 WINDOWS = (5, 10, 30, 60)
@@ -61,22 +62,36 @@ def sorted_windows(
     return extended(df, whole), names
 
 
+def rolling_median(df: DataFrame, frames: Frames, column: str, window: int) -> tuple[DataFrame, str]:
+    """`df` with what the median of the newest `window` values needs, and its SQL."""
+    if window > LONG_WINDOW:
+        return with_quantiles(df, frames, [column], [window], [0.5]), f"`{quantile_name(column, window, 0.5)}`"
+    df, cells = sorted_windows(df, frames, [column], [window])
+    return df, quantile_of_sorted(cells[column, window], window, 0.5)
+
+
 def roll_plan(
     df: DataFrame, frames: Frames, columns: list[str], windows: list[int], stats: list[str]
 ) -> DataFrame:
-    """Moments and extremes by merging (see `plans.doubling`), order statistics from sorted windows."""
+    """Moments and extremes by merging (see `plans.doubling`), order statistics from sorted windows, or, where windows are
+    long, from ranks (see `plans.orderstats`)."""
     kept = [f"`{c}`" for c in df.columns]
     wanted = set(stats)
     order = max((MOMENT_ORDER[s] for s in wanted & set(MOMENT_ORDER)), default=0)
     needs_sort = bool(wanted & {*QUANTILES, "iqr"})
     moments = {c: Moments(c, order) for c in columns} if order else {}
-    extremes = {c: Extremes(c) for c in columns} if wanted & {"min", "max"} and not needs_sort else {}
+    short = [w for w in windows if w <= LONG_WINDOW] if needs_sort else []
+    long = [w for w in windows if w > LONG_WINDOW] if needs_sort else []
+    if long:
+        df = with_quantiles(df, frames, columns, long, list(QUANTILES.values()))
+    merged = bool(wanted & {"min", "max"}) and len(short) < len(windows)
+    extremes = {c: Extremes(c) for c in columns} if merged else {}
     states = [*moments.values(), *extremes.values()]
     if states:
         df = add_summaries(df, frames, states, windows)
     ordered: dict[tuple[str, int], str] = {}
-    if needs_sort:
-        df, ordered = sorted_windows(df, frames, columns, windows)
+    if short:
+        df, ordered = sorted_windows(df, frames, columns, short)
 
     out = []
     for c in columns:
@@ -86,7 +101,9 @@ def roll_plan(
                 cells |= moment_stats(moments[c], w)
             if c in extremes:
                 cells |= {"min": summary(extremes[c], w, "lo"), "max": summary(extremes[c], w, "hi")}
-            if needs_sort:
+            if w in long:
+                cells |= _with_iqr({n: f"`{quantile_name(c, w, q)}`" for n, q in QUANTILES.items()})
+            elif needs_sort:
                 cells |= order_stats(ordered[c, w], w)
             out += [f"{cells[s]} AS `{roll_name(c, s, w)}`" for s in STATS if s in wanted]
     return df.selectExpr(*kept, *out)
@@ -115,11 +132,14 @@ def moment_stats(state: Moments, w: int) -> dict[str, str]:
 
 
 def order_stats(values: str, w: int) -> dict[str, str]:
-    out = {n: quantile_of_sorted(values, w, q) for n, q in QUANTILES.items()}
-    out["iqr"] = f"({out['q75']}) - ({out['q25']})"
+    out = _with_iqr({n: quantile_of_sorted(values, w, q) for n, q in QUANTILES.items()})
     return out | {"min": f"{values}[0]", "max": f"{values}[{w - 1}]"}
 
 
+def _with_iqr(cells: dict[str, str]) -> dict[str, str]:
+    return cells | {"iqr": f"({cells['q75']}) - ({cells['q25']})"}
+
+
 def _checked(windows: Iterable[int]) -> list[int]:
     out = list(windows)
     if not out or any(int(w) != w or w < 1 for w in out):
