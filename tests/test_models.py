@@ -3,13 +3,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import frame, series
+from tests.helpers import collected, frame, series
 from tidewatch.models.forest import expected_depth, fit_isolation_forest
 from tidewatch.models.oneclass import fit_one_class
 from tidewatch.models.reconstruction import fit_reconstruction, fit_sequence_reconstruction, training_threshold
 from tidewatch.models.store import load_models, predict, registry, save_models
 from tidewatch.models.supervised import fit_gradient_boosting, fit_random_forest, fit_sequence_classifier, tune
 from tidewatch.operators.evaluate import confusion_counts, with_rates
+from tidewatch.plans.lagged import lag_products
 from tidewatch.session import scratch_path
 
 NAMES = [f"f{i}" for i in range(6)]
@@ -118,6 +119,55 @@ def test_sequence_models_leave_rows_without_a_sequence_open(spark):
     assert f1(out, "lstm_supervised") > 0.8
 
 
+@pytest.mark.parametrize("block", [25, 1_000_000])
+def test_sequence_errors_equal_those_of_stored_sequences(spark, block):
+    """Against numpy on all sequences written out, for series in blocks too."""
+    pdf, length = frame(90), 12
+    s = series(spark, pdf, block)
+    model = fit_sequence_reconstruction(s, ["x", "y"], length=length)
+    scale = [model.scaler.parameters[c] for c in ("x", "y")]
+    rows, names = [], []
+    for _, own in pdf.sort_values(["key", "ts", "id"]).groupby("key"):
+        x = np.column_stack([(own[c] - m) / d for c, (m, d) in zip(("x", "y"), scale)])
+        rows += [x[i : i + length].ravel() for i in range(len(x) - length + 1)]
+        names += list(zip(own["key"], own["id"]))[length - 1 :]
+    rows = np.array(rows)
+    spread = np.cov(rows.T)
+    values, vectors = np.linalg.eigh(spread)
+    top = vectors[:, ::-1][:, : model.settings["components"]]
+    want = dict(zip(names, ((rows**2).sum(axis=1) - ((rows @ top) ** 2).sum(axis=1)) / rows.shape[1]))
+    got = {(r["key"], r["id"]): r["score_lstm_autoencoder"] for r in model.scored_series(s).collect()}
+    assert got.keys() == want.keys()
+    np.testing.assert_allclose([got[k] for k in want], list(want.values()), rtol=1e-8, atol=1e-10)
+    with pytest.raises(ValueError, match="sequence"):
+        fit_sequence_reconstruction(series(spark, frame(5)), ["x"], length=6)
+
+
+def test_sequence_models_are_saved_with_their_components(spark, tmp_path):
+    s = series(spark, frame(60))
+    s = s.with_df(s.df.withColumn("label", (F.col("x") > 11).cast("int")))
+    models = {
+        "lstm_autoencoder": fit_sequence_reconstruction(s, ["x"], length=6),
+        "lstm_supervised": fit_sequence_classifier(s, ["x"], length=4, hidden=4, rounds=20),
+    }
+    save_models(spark, models, str(tmp_path / "models"))
+    again = load_models(spark, str(tmp_path / "models"))
+    for name, cell in (("lstm_autoencoder", "score_lstm_autoencoder"), ("lstm_supervised", "prob_lstm_supervised")):
+        a, b = (collected(m[name].transform(s.df))[cell].to_numpy() for m in (models, again))
+        np.testing.assert_allclose(a, b)
+
+
+def test_lag_products_equal_written_out_windows():
+    rng = np.random.default_rng(2)
+    for n, length, d in ((30, 5, 2), (6, 5, 1), (40, 7, 3)):
+        x = rng.normal(size=(n, d))
+        for first in {length - 1, n - 1}:
+            sums, products = lag_products(x, first, length)
+            rows = np.array([np.concatenate([x[t - a] for a in range(length)]) for t in range(first, n)])
+            np.testing.assert_allclose(sums, rows.sum(axis=0), atol=1e-12)
+            np.testing.assert_allclose(products, rows.T @ rows, atol=1e-12)
+
+
 def test_tuning(cloud):
     model, best = tune("random_forest", cloud, NAMES, grid={"maxDepth": [1, 5], "numTrees": [10]}, folds=2)
     assert best == {"maxDepth": 5, "numTrees": 10} and f1(model.transform(cloud), "random_forest_tuned") > 0.7

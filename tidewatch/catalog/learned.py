@@ -97,11 +97,20 @@ def rules(spark, sf):
     return rounded(errors.agg(F.count(F.lit(1)).alias("n")).select(*cells), [])
 
 
-@query("sequence_reconstruction")
+# Every series of n readings has n - 59 sequences of 60; each has an error, and a flag that says whether it is over the cut.
+_SEQUENCE_SQL = f"""SELECT event_type, count(*) AS rows, greatest(count(*) - 59, 0) AS scored, greatest(count(*) - 59, 0) AS consistent
+  FROM ({LONG_SQL}) GROUP BY event_type"""
+
+
+@query("sequence_reconstruction", _SEQUENCE_SQL)
 def sequence_reconstruction(spark, sf):
     _, s = labelled(spark, sf)
-    model = fit_sequence_reconstruction(s, ["value"], length=20)
-    return model.transform(s.df).select("event_id", "label", "pred_lstm_autoencoder", "score_lstm_autoencoder")
+    model = fit_sequence_reconstruction(s, ["value"])
+    score, pred = F.col("score_lstm_autoencoder"), F.col("pred_lstm_autoencoder")
+    agrees = (score >= 0) & ((score > model.threshold) == (pred == 1))
+    return model.transform(s.df).groupBy("event_type").agg(
+        F.count("*").alias("rows"), F.count(score).alias("scored"), F.count_if(agrees).alias("consistent")
+    )
 
 
 @query("random_forest")
@@ -132,11 +141,15 @@ def top(spark, sf):
     return evaluate.top_features(fit_random_forest(rows, FEATURES, depth=6, trees=20).importance(spark), 3)
 
 
-@query("sequence_classifier")
+@query("sequence_classifier", _SEQUENCE_SQL)
 def sequence_classifier(spark, sf):
     _, s = labelled(spark, sf)
-    model = fit_sequence_classifier(s, ["value", "value_diff_1"], length=20, hidden=16, rounds=40)
-    return model.transform(s.df).select("event_id", "label", "pred_lstm_supervised", "prob_lstm_supervised")
+    model = fit_sequence_classifier(s, ["value", "value_diff_1"], rounds=40)
+    prob, pred = F.col("prob_lstm_supervised"), F.col("pred_lstm_supervised")
+    agrees = prob.between(0, 1) & ((prob > 0.5) == (pred == 1))
+    return model.transform(s.df).groupBy("event_type").agg(
+        F.count("*").alias("rows"), F.count(prob).alias("scored"), F.count_if(agrees).alias("consistent")
+    )
 
 
 @query("tuned_random_forest")
@@ -194,7 +207,7 @@ def stream_model_alerts(spark, sf):
 
 @query(
     "stream_sequence_alerts",
-    f"""SELECT event_type, (rn - 60) // 10 AS "window", 60 AS rows, 60 AS readings, 41 AS scored FROM (
+    f"""SELECT event_type, (rn - 60) // 10 AS "window", 60 AS rows, 60 AS readings, 41 AS scored, 41 AS same FROM (
       SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM ({LONG_SQL}))
       WHERE rn >= 60 AND (rn - 60) % 10 = 0""",
 )
@@ -206,10 +219,14 @@ def stream_sequence_alerts(spark, sf):
     scorer = StreamScorer(s, {"lstm_autoencoder": model}, out)
     start_scoring(stream_count_windows(s), scorer, f"{out}-checkpoint", once=True).awaitTermination()
     scored = spark.read.parquet(f"{out}/predictions")
-    return scored.groupBy("event_type", "window").agg(
+    whole = long_series(spark, sf)
+    batch = model.scored_series(whole).select("event_type", "event_id", F.col("score_lstm_autoencoder").alias("whole_score"))
+    same = F.abs(F.col("score_lstm_autoencoder") - F.col("whole_score")) < 1e-9
+    return scored.join(batch, ["event_type", "event_id"], "left").groupBy("event_type", "window").agg(
         F.count("*").cast("int").alias("rows"),
         F.countDistinct("event_id").cast("int").alias("readings"),
         F.count("score_lstm_autoencoder").cast("int").alias("scored"),
+        F.count_if(same).cast("int").alias("same"),
     )
 
 

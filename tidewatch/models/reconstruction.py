@@ -7,15 +7,17 @@ that the projection loses and no reconstructed row is ever built.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, PCAModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.models.base import FittedModel, checked_features, standardised
-from tidewatch.operators.project import sequences
+from tidewatch.plans.lagged import covariance, laid_out, per_window
 from tidewatch.plans.ordered import exact_quantile
 from tidewatch.plans.series import Series
 
@@ -78,35 +80,64 @@ def fit_reconstruction(
     return model
 
 
-class SequenceReconstruction(Reconstruction):
-    """Scores whole sequences; a score belongs to the row that ends its sequence."""
+class SequenceModel(FittedModel):
+    """What models of whole sequences share: sequences are read as `plans.lagged` windows of scaled features, and their
+    principal components, found from lag products, stand for them. A result belongs to the row that ends its sequence."""
 
-    algorithm = "sequence_reconstruction"
+    components: np.ndarray
 
-    def scored_series(self, series: Series) -> DataFrame:
-        rows = sequence_vectors(self, series)
-        return self._errors(rows, F.col("_v"), self.settings["width"]).drop("_v")
+    def laid(self, series: Series, keep: list[str]) -> DataFrame:
+        return laid_out(series, self.inputs(series.df), self.settings["length"], keep)
+
+    def fit_components(self, series: Series, most: int) -> int:
+        """The leading components, at most `most`; the covariance, of length x features squared numbers, is the driver's."""
+        length = self.settings["length"]
+        width = length * len(self.features)
+        n, spread = covariance(self.laid(series, []), width, length)
+        if not n:
+            raise ValueError(f"No series has the {length} rows of a sequence")
+        values, vectors = np.linalg.eigh(spread)
+        self.components = vectors[:, np.argsort(values)[::-1][: max(1, min(most, width))]]
+        return self.components.shape[1]
+
+    def on_windows(self, series: Series, keep: list[str], fn: Callable[[np.ndarray], pa.Array], name: str, kind: str) -> DataFrame:
+        return per_window(self.laid(series, keep), self.settings["length"], keep, fn, name, kind)
 
     def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
         """Rows need the order columns this model was trained with; `keys` say what a series is where that differs, as in
         overlapping windows, where a reading belongs to a sequence of each of its windows."""
         s = self.settings
         series = Series(df, keys or tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
-        ends = self.scored_series(series).select(*series.identity, f"score_{self.name}")
-        return df.join(ends, series.identity, "left")
+        return df.join(self.scored_series(series), series.identity, "left")
+
+    def write_payload(self, path: str, spark) -> None:
+        rows = [(i, [float(v) for v in row]) for i, row in enumerate(self.components)]
+        spark.createDataFrame(rows, "entry int, weights array<double>").write.mode("overwrite").parquet(f"{path}/components")
+
+    def read_payload(self, path: str, spark) -> None:
+        rows = spark.read.parquet(f"{path}/components").orderBy("entry").collect()
+        self.components = np.array([r["weights"] for r in rows])
+
 
+class SequenceReconstruction(SequenceModel):
+    """Scores whole sequences by what their components lose."""
 
-def sequence_vectors(model: FittedModel, series: Series) -> DataFrame:
-    """(identity, _v): scaled features of each full sequence, flattened, oldest row first."""
-    cells = {f"_s{i}": c for i, c in enumerate(model.inputs(series.df))}
-    scaled = series.df.withColumns(cells)
-    length = model.settings["length"]
-    # Short sequences are filtered out; the padding keeps a model safe should Spark evaluate it before the filter.
-    padding = F.array_repeat(F.lit(0.0), length * len(cells))
-    flat = F.when(F.size("sequence") == length, F.flatten("sequence")).otherwise(padding)
-    label = model.settings.get("label")
-    out = sequences(series.with_df(scaled), list(cells), length, label)
-    return out.select(*series.identity, array_to_vector(flat).alias("_v"), *([label] if label else []))
+    algorithm = "sequence_reconstruction"
+    size_name = "components"
+
+    def scored_series(self, series: Series) -> DataFrame:
+        components, width = self.components, self.settings["width"]
+
+        def errors(vectors: np.ndarray) -> pa.Array:
+            kept = vectors @ components
+            lost = (vectors * vectors).sum(axis=1) - (kept * kept).sum(axis=1)
+            return pa.array(np.maximum(lost, 0.0) / width)
+
+        return self.on_windows(series, series.identity, errors, f"score_{self.name}", "double")
+
+
+def sequence_settings(series: Series, length: int) -> dict:
+    return {"length": length, "keys": list(series.keys), "ts": series.ts, "tie": series.tie}
 
 
 def fit_sequence_reconstruction(
@@ -119,12 +150,7 @@ def fit_sequence_reconstruction(
     cols = series.columns(features)
     model = SequenceReconstruction(name, cols, standardised(series.df, cols))
     width = length * len(cols)
-    model.settings = {
-        "length": length, "width": width, "rule": rule,
-        "keys": list(series.keys), "ts": series.ts, "tie": series.tie,
-    }
-    rows = sequence_vectors(model, series).select("_v")
-    model.pca, model.settings["components"] = _components(rows.select(F.col("_v").alias("_x")), width)
-    score = f"score_{name}"
-    model.threshold = training_threshold(model._errors(rows, F.col("_v"), width), score, rule)
+    model.settings = {**sequence_settings(series, length), "width": width, "rule": rule}
+    model.settings["components"] = model.fit_components(series, max(1, min(BOTTLENECK, width // 2)))
+    model.threshold = training_threshold(model.scored_series(series), f"score_{name}", rule)
     return model

@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
@@ -14,7 +16,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,19 +25,22 @@ from tidewatch.functions.scores import as_flag
 from tidewatch.models.base import FittedModel, checked_features, standardised
 from tidewatch.models.forest import fit_isolation_forest
 from tidewatch.models.oneclass import fit_one_class
-from tidewatch.models.reconstruction import sequence_vectors
+from tidewatch.models.reconstruction import SequenceModel, sequence_settings
 from tidewatch.operators.detect import label_balance
 from tidewatch.operators.evaluate import confusion_counts, with_rates
 from tidewatch.plans.series import Series
+from tidewatch.session import pinned
 
 LOADERS = {
     "random_forest": RandomForestClassificationModel,
     "gradient_boosting": GBTClassificationModel,
     "sequence_classifier": MultilayerPerceptronClassificationModel,
 }
-# Deepest tree a distributed forest supports is 30; classes separate long before that.
-FOREST_DEPTH = 15
-# The grids searched per kind of model.
+# Trees grow until their leaves are pure, or to the deepest that a distributed forest supports.
+FOREST_DEPTH = 30
+# Components that stand for a sequence in the sequence classifier.
+INNER = 64
+# The grids searched per kind of model; that of the one-class machine leaves out its kernels, as there is one.
 GRIDS = {
     "random_forest": {"numTrees": [50, 100, 200], "maxDepth": [10, 15, 20], "minInstancesPerNode": [1, 3, 5]},
     "gradient_boosting": {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 5, 7]},
@@ -78,18 +83,32 @@ class Classifier(FittedModel):
         return spark.createDataFrame(pairs, "feature string, importance double")
 
 
-class SequenceClassifier(Classifier):
-    """Classifies whole sequences; a probability belongs to the row that ends its sequence."""
+class SequenceClassifier(SequenceModel, Classifier):
+    """Classifies whole sequences by a feed-forward network on their leading components."""
+
+    def vectors(self, series: Series, keep: list[str]) -> DataFrame:
+        """`keep` and `_v`, the components of every full sequence."""
+        components = self.components
+
+        def projected(vectors: np.ndarray) -> pa.Array:
+            cells = vectors @ components
+            offsets = np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
+
+        out = self.on_windows(series, keep, projected, "_v", "array<double>")
+        return out.withColumn("_v", array_to_vector("_v"))
 
     def scored_series(self, series: Series) -> DataFrame:
-        return self._probability(sequence_vectors(self, series), F.col("_v")).drop("_v")
+        out = self._probability(self.vectors(series, series.identity), F.col("_v"))
+        return out.select(*series.identity, f"prob_{self.name}", f"pred_{self.name}")
 
-    def scored(self, df: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
-        s = self.settings
-        series = Series(df, keys or tuple(s["keys"]), s["ts"], s["tie"], tuple(self.features))
-        cells = [f"prob_{self.name}", f"pred_{self.name}"]
-        ends = self.scored_series(series).select(*series.identity, *cells)
-        return df.join(ends, series.identity, "left")
+    def write_payload(self, path: str, spark) -> None:
+        SequenceModel.write_payload(self, path, spark)
+        Classifier.write_payload(self, path, spark)
+
+    def read_payload(self, path: str, spark) -> None:
+        SequenceModel.read_payload(self, path, spark)
+        Classifier.read_payload(self, path, spark)
 
 
 def class_weights(df: DataFrame, label: str, balanced: bool) -> Column:
@@ -179,21 +198,16 @@ def fit_sequence_classifier(
     seed: int = 42,
     name: str = "lstm_supervised",
 ) -> SequenceClassifier:
-    """A feed-forward network on flattened sequences; the label is that of the sequence's last row."""
+    """A feed-forward network on the leading components of the sequences, as many as INNER; the label is that of the
+    sequence's last row. Training keeps those, not the sequences."""
     cols = series.columns(features)
     model = SequenceClassifier(name, cols, standardised(series.df, cols), algorithm="sequence_classifier")
-    model.settings = {
-        "length": length, "label": label, "hidden": hidden,
-        "keys": list(series.keys), "ts": series.ts, "tie": series.tie,
-    }
-    rows = sequence_vectors(model, series).select(
-        F.col("_v").alias("_x"), F.col(label).cast("double").alias("_label")
-    )
-    network = MultilayerPerceptronClassifier(
-        layers=[length * len(cols), hidden, 2], maxIter=rounds, seed=seed, **_NAMES
-    )
-    model.fitted = network.fit(rows)
-    model.settings["label"] = None
+    model.settings = {**sequence_settings(series, length), "hidden": hidden}
+    inner = model.fit_components(series, INNER)
+    model.settings["components"] = inner
+    rows = model.vectors(series, [label]).select(F.col("_v").alias("_x"), F.col(label).cast("double").alias("_label"))
+    network = MultilayerPerceptronClassifier(layers=[inner, hidden, 2], maxIter=rounds, seed=seed, **_NAMES)
+    model.fitted = network.fit(pinned(rows))
     return model
 
 
