@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, documents
 from tidewatch.llm.language import SWITCH, fit_language_model, identify, keep_identified, label_texts, viterbi
@@ -111,3 +112,12 @@ def test_neighbours_are_exact(spark, sf, table):
         vote = row[top].astype(float).clip(min=0) ** SHARPNESS
         want = ((vote * fitted.labels[top]).sum() + PRIOR * fitted.labels.mean()) / (vote.sum() + PRIOR)
         assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_documents_stay_where_no_language_is_known(spark):
+    df = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    got = keep_identified(df, fit_language_model(df), 0.3)
+    assert got.columns == df.columns
+    letters = [(i, t) for i, t in AWKWARD if t and any(c.isalpha() for c in t)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(letters, key=repr)
+    assert keep_identified(df.limit(0), fit_language_model(df.limit(0)), 0.3).count() == 0

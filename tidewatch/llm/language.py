@@ -262,7 +262,11 @@ def identify(
 
 
 def keep_identified(df: DataFrame, model: LanguageModel, least: float, text: str = "text", switch: float = SWITCH) -> DataFrame:
-    """The rows of `df`, all columns, whose text has a language with a score of at least `least`."""
+    """The rows of `df`, all columns, whose text has a language with a score of at least `least`. With a model that has learned
+    no language, those whose text has a letter. Null and empty texts go; null ids, repeated rows and an empty table stay as
+    they are."""
+    if not model.languages:
+        return df.where(F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False)))
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,7 +93,7 @@ class QualityModel:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Exact cosine products with every labelled vector, block by block; the nearest vote."""
-        out = np.empty(len(texts))
+        out, alone = np.empty(len(texts)), np.zeros(len(texts), bool)
         near = min(NEIGHBOURS, len(self.labels))
         for low in range(0, len(texts), BLOCK):
             cosine = self.project(counts_of(texts[low : low + BLOCK])) @ self.vectors.T
@@ -101,8 +101,9 @@ class QualityModel:
             vote = np.take_along_axis(cosine, top, axis=1).astype(np.float64).clip(min=0) ** SHARPNESS
             agreed = (vote * self.labels[top]).sum(axis=1) + PRIOR * self.labels.mean()
             out[low : low + BLOCK] = agreed / (vote.sum(axis=1) + PRIOR)
+            alone[low : low + BLOCK] = vote.sum(axis=1) == 0
         # Products differ in their last digits with the rows they are made with; equal texts must not.
-        return out.clip(0, 1).round(5)
+        return np.where(alone, self.labels.mean(), out.clip(0, 1).round(5))
 
 
 def fit_quality_model(
