@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 
@@ -111,3 +112,20 @@ def test_awkward_rows_and_items(spark, monkeypatch):
 def test_budget_leaves_a_gram_to_count(length):
     e = budget(length)
     assert e <= 0.08 * length and (length < 8 or length + 1 - 8 * (e + 1) >= 1)
+
+
+def test_repetitive_texts_take_bounded_memory(monkeypatch):
+    rng = random.Random(12)
+    items = [(1, "a" * 600), (2, "ab" * 200), (3, "some words that are not in there at all")]
+    texts = ["a" * 5000, "ab" * 900 + "x", "b" + "a" * 599 + "c" * 50, "".join(rng.choice("ab") for _ in range(3000)), "", None]
+    whole = list(Benchmark.of(items).hits(texts))
+    assert {(t, i) for t, i, *_ in whole} >= {(0, 0), (1, 1), (2, 0)} and not [h for h in whole if h[1] == 2]
+    monkeypatch.setattr(decontaminate, "MOST_HITS", 1000)
+    assert list(Benchmark.of(items).hits(texts)) == whole
+    monkeypatch.undo()
+    index = Benchmark.of([(1, "a" * 2000)])
+    tracemalloc.start()
+    found = list(index.hits(["a" * 20_000]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 10 and peak < 600_000_000

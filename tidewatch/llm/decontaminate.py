@@ -26,6 +26,8 @@ EDITS = 0.08
 BLOCK_CHARS = 4_000_000
 #: Document characters looked up at once, and hits expanded at once.
 CHUNK_CHARS = 400_000
+#: Meetings of a gram of the texts with a place in an item that are worked out at once.
+MOST_HITS = 2_000_000
 FILTER_BITS = 22
 _MULTIPLIERS = np.random.default_rng(8).integers(1, 2**63, Q, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WHITE = (9, 10, 11, 12, 13, 0x20, 0x85, 0xA0, 0x2028, 0x2029, 0x3000, *range(0x2000, 0x200B))
@@ -175,16 +177,26 @@ class Benchmark:
         same = self.gram[rank] == hashed[at]
         at, rank = at[same], rank[same]
         count = self.count[rank]
-        first = np.cumsum(count) - count
-        entry = np.arange(int(count.sum())) + np.repeat(self.start[rank] - first, count)
         text = np.searchsorted(edge, at, "right") - 1
-        item, diagonal = self.item[entry], np.repeat(at - edge[text], count) - self.place[entry]
-        slot = diagonal // self.width[item]
-        pairs, pair = np.unique(np.repeat(text, count) * len(self.items) + item, return_inverse=True)
+        own = at - edge[text]
+        # Hits are expanded in bounded pieces: first the pairs of text and item that occur, then their counts by slot.
+        cuts = np.flatnonzero(np.diff(np.cumsum(count) // MOST_HITS, prepend=0))
+        parts = [slice(a, b) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True) if a < b]
+        pairs = np.zeros(0, np.int64)
+        for part in parts:
+            item, _ = self._expanded(rank[part], count[part])
+            pairs = np.union1d(pairs, np.repeat(text[part], count[part]) * len(self.items) + item)
         # The slot below the lowest one is left free, for the band that starts there.
-        base = int(slot.min()) - 1
-        slots = int(slot.max()) - base + 1
-        key, hits = np.unique(pair * slots + (slot - base), return_counts=True)
+        base = -int(max(len(c) for c in self.items)) - 1
+        slots = int(own.max()) - base + 2
+        key, hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part in parts:
+            item, place = self._expanded(rank[part], count[part])
+            diagonal = np.repeat(own[part], count[part]) - place
+            pair = np.searchsorted(pairs, np.repeat(text[part], count[part]) * len(self.items) + item)
+            fresh, n = np.unique(pair * slots + (diagonal // self.width[item] - base), return_counts=True)
+            key, back = np.unique(np.concatenate([key, fresh]), return_inverse=True)
+            hits = np.bincount(back, np.concatenate([hits, n]), len(key)).astype(np.int64)
         # A band is a slot and the one above it.
         lower, place = np.concatenate([key, key - 1]), np.concatenate([hits, hits])
         band, back = np.unique(lower, return_inverse=True)
@@ -194,6 +206,12 @@ class Benchmark:
         reached = total >= self.bound[item]
         return set(zip(text[reached].tolist(), item[reached].tolist(), low[reached].tolist(), strict=True))
 
+    def _expanded(self, rank: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place) of all entries of some grams."""
+        first = np.cumsum(count) - count
+        entry = np.arange(int(count.sum())) + np.repeat(self.start[rank] - first, count)
+        return self.item[entry], self.place[entry]
+
     def _short(self, codes: np.ndarray, edge: np.ndarray) -> set[tuple[int, int, int]]:
         """Items shorter than a q-gram: every place where they stand."""
         out = set()
@@ -229,7 +247,8 @@ def find_leaks(
     """One row per occurrence: `id`, `item`, start, end (code points of the text, end exclusive) and edits.
 
     Both sides are compared in lower case with white space collapsed; an item may differ in 8 % of its characters (fewer
-    where q-grams could not show it; items under 13 characters must occur as they are). Occurrences of one item do not
+    where q-grams could not show it; items under 16 characters must occur as they are). Items are
+    found whole: a text that quotes a part of one gives no row. Occurrences of one item do not
     overlap. Null and empty texts or items give no rows, null ids stay, repeated rows each give their rows, empty tables
     give none; other columns are not read. No shuffle: blocks of the benchmark, of bounded size, are broadcast.
     """
@@ -255,7 +274,8 @@ def find_leaks(
 
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of `df`, with all their columns, whose text holds no item of the benchmark."""
+    """The rows of `df`, with all their columns, whose text holds no item of the benchmark. Null and empty texts, null ids and
+    repeated rows stay; without items all rows do; an empty table gives none."""
     for rows in _blocks(benchmark, item, item_text):
         shared = df.sparkSession.sparkContext.broadcast(Benchmark.of(rows))
 
