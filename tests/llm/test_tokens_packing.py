@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -116,3 +117,18 @@ def test_places_are_running_totals(spark):
         for before, n in spans:
             assert before == at
             at += n
+
+
+def test_sources_without_a_share_come_last_in_whole_pieces(spark):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice(["red", "green", "blue"]) for _ in range(400)), "abc"[i % 3]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pack(df, WORDS, shares={"a": 0.75, "b": 0.25}, sequence=64, window_sequences=4).collect()
+    check_packing(got, [(i, t, s) for i, t, s in rows], 64)
+    assert len(got) < 30 * 401 / 64 * 3
+    place = {s: sorted(64 * r["sequence_id"] + r["offset"] for r in got if r["doc_id"] % 3 == "abc".index(s)) for s in "abc"}
+    assert place["c"][0] > place["a"][-1] and place["c"][0] > place["b"][-1]
+    first = sum(r["length"] for r in got if r["sequence_id"] < 40 and r["doc_id"] % 3 == 0)
+    assert abs(first - 0.75 * 40 * 64) < 64
+    # No source of the shares is in the table.
+    check_packing(pack(df, WORDS, shares={"z": 1.0}, sequence=64).collect(), [(i, t, s) for i, t, s in rows], 64)

@@ -126,20 +126,26 @@ def queue_places(encoded: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFram
 
 
 class Schedule:
-    """Where the tokens of every queue go: supply and quantum (in 1/65536 tokens a window) of the queues in use."""
+    """Where the tokens of every queue go: supply, quantum (in 1/65536 tokens a window) and first window of the queues in use."""
 
     def __init__(self, supply: dict[int, int], shares: dict[int, float], window: int):
         self.queues = sorted(supply)
         self.at = {q: i for i, q in enumerate(self.queues)}
         self.supply = np.array([supply[q] for q in self.queues], np.int64)
-        share = np.array([shares.get(q, 0.0) for q in self.queues])
-        share = share / share.sum() if share.sum() > 0 else share
+        share = np.array([max(shares.get(q, 0.0), 0.0) for q in self.queues])
+        named = share > 0
+        # Queues without a share wait until the others are empty, and then share windows as their tokens do.
+        share = np.where(named, share / max(share[named].sum(), 1e-300), 0.0)
+        rest = np.where(named, 0, self.supply)
+        share = np.where(named, share, rest / max(int(rest.sum()), 1))
         self.quantum = np.maximum(1, np.rint(share * window * (1 << FINE))).astype(np.int64)
+        windows = -(-(self.supply << FINE) // self.quantum)
+        self.begin = np.where(named, 0, int(windows[named].max(initial=0))).astype(np.int64)
         self.known: dict[int, np.ndarray] = {}
 
     def sent(self, window: int) -> np.ndarray:
         """Tokens that every queue has sent before this window."""
-        return np.minimum(self.supply, (self.quantum * window) >> FINE)
+        return np.minimum(self.supply, (self.quantum * np.maximum(window - self.begin, 0)) >> FINE)
 
     def origin(self, window: int) -> np.ndarray:
         """For every queue, the place in the packed stream of its first token of this window."""
@@ -154,13 +160,13 @@ class Schedule:
     def pieces(self, queue: int, before: int, n: int, sequence: int) -> Iterator[tuple[int, int, int]]:
         """(start in the document, length, place in the stream) of a document of n tokens."""
         i = self.at[queue]
-        quantum, supply = int(self.quantum[i]), int(self.supply[i])
+        quantum, supply, begin = int(self.quantum[i]), int(self.supply[i]), int(self.begin[i])
         at, stop = before, before + n
         while at < stop:
             window = -(-((at + 1) << FINE) // quantum) - 1
             first = min(supply, (quantum * window) >> FINE)
             until = min(stop, supply, (quantum * (window + 1)) >> FINE)
-            place = int(self.origin(window)[i]) + at - first
+            place = int(self.origin(begin + window)[i]) + at - first
             while at < until:
                 length = min(until - at, sequence - place % sequence)
                 yield at - before, length, place
