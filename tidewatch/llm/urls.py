@@ -105,8 +105,8 @@ def _with_suffixes(df: DataFrame, statistics: DataFrame, few: bool, prior: float
 def judge_urls(df: DataFrame, id: str = "page_id", url: str = "url", rules: tuple = RULES, seed: int = 7) -> DataFrame:
     """Per row of `df`: `id`, host, path, rule (NULL where none fits), verdict, score.
 
-    The rows that a rule judges are the labelled URLs: trees are fitted on at most about TRAIN_ROWS of them (suffix counts
-    are of all), and judge the rest: block when the score, the chance of block, is over 0.5. Where the rules label nothing
+    The rows that a rule judges are the labelled URLs: trees are fitted on at most TRAIN_ROWS distinct ones of them, half of
+    either verdict, weighted by their rows (suffix counts are of all rows), and judge the rest: block when the score, the chance of block, is over 0.5. Where the rules label nothing
     or give one verdict only, that verdict (allow without any) holds for all. A null URL, or one without ://, has empty
     host and path and is judged by the trees. Null ids stay, repeated rows each give a row, an empty table gives none;
     other columns are not read.
@@ -123,19 +123,21 @@ def judge_urls(df: DataFrame, id: str = "page_id", url: str = "url", rules: tupl
         return _verdicts(rows.withColumn("_score", F.lit(score)), id, F.lit(verdict))
     few = seen["s"] <= SUFFIX_BROADCAST // 2
     statistics = suffix_statistics(labelled, blocked / n)
-    share = min(1.0, TRAIN_ROWS / n)
-    drawn = F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+    # One row for every distinct URL, with the number of its rows: however often a URL stands there, it is drawn once.
+    distinct = labelled.groupBy(*[c for c in labelled.columns if c not in ("_id", "_rule")]).agg(F.count("*").cast("double").alias("weight"))
+    order = F.xxhash64("_url", F.lit(seed))
+    drawn = [distinct.where(F.col("label") == v).orderBy(order, "_url").limit(TRAIN_ROWS // 2) for v in (0.0, 1.0)]
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = _with_suffixes(labelled.where(drawn), statistics, few, blocked / n)
+    train = _with_suffixes(drawn[0].unionByName(drawn[1]), statistics, few, blocked / n)
     # Fitting passes over its rows many times: the draw, of bounded size, is written to the shared folder once.
-    model = fit_trees(pinned(assembler.transform(train).select("features", "label")), seed)
+    model = fit_trees(pinned(assembler.transform(train).select("features", "label", "weight")), seed)
     scored = assembler.transform(_with_suffixes(rows, statistics, few, blocked / n))
     scored = model.transform(scored).withColumn("_score", vector_to_array("probability")[1])
     return _verdicts(scored, id, F.when(F.col("_score") > 0.5, "block").otherwise("allow"))
 
 
 def fit_trees(train: DataFrame, seed: int) -> GBTClassificationModel:
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.2, maxBins=32).fit(train)
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.2, maxBins=32, weightCol="weight").fit(train)
 
 
 def _verdicts(rows: DataFrame, id: str, judged: F.Column) -> DataFrame:
