@@ -28,6 +28,8 @@ from tidewatch.session import scratch_path
 LEAST_LENGTH, LEAST_COUNT = 5, 3
 #: Texts of one index.
 BLOCK_WORDS = 8_000
+#: Most tasks that blocks are dealt over.
+MOST_TASKS = 20_000
 #: Distinct words that a task gathers before it puts their counts out.
 HELD_WORDS = 300_000
 #: Every so-many-th run loses a letter.
@@ -119,6 +121,8 @@ def near_words(words: DataFrame) -> DataFrame:
     dealt = rows.select(
         block.alias("block"), "cut", "word", "n", "half", "asks", (F.col("cut") == F.col("mine")).alias("text")
     )
+    # Blocks are small but take work: dealt over so many tasks, they are not put together again by their bytes.
+    dealt = dealt.repartition(min(blocks, MOST_TASKS), "block", "cut")
     found = dealt.groupBy("block", "cut").applyInArrow(_meet, "word string, near bigint, best_n bigint, best string")
     merged = found.groupBy("word").agg(
         F.sum("near").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("rank"), "best")).alias("first")
