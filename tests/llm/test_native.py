@@ -5,10 +5,12 @@ import re
 import duckdb
 import pandas as pd
 import pytest
+import xxhash
 
 from tests.llm.helpers import AWKWARD, documents, mixed_texts
 from tests.oracle import compare, connect
-from tidewatch.llm.fingerprints import aligned_share, edit_report, fingerprints, likeness
+from tidewatch.llm import fingerprints as module
+from tidewatch.llm.fingerprints import edit_report, fingerprints, likeness
 from tidewatch.llm.pii import PII_SQL, find_pii, pii_report
 from tidewatch.llm.queries import LLM_ORACLES
 from tidewatch.llm.urls import RULES, judge_urls
@@ -106,11 +108,102 @@ def test_fingerprints_of_awkward_rows(spark):
 def test_edits_do_not_move_other_anchors(spark):
     words = [f"w{i}" for i in range(300)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:150] + ["changed"] + words[151:])), (3, " ".join(reversed(words)))]
-    own = fingerprints(documents(spark, rows)).select("_id", "sketch_marks", "sketch")
-    a, b = own.where("_id = 1"), own.where("_id > 1").toDF("other", "marks_b", "sketch_b")
-    near = a.join(b, how="cross").select("other", aligned_share("sketch_marks", "marks_b").alias("s"), likeness("sketch", "sketch_b").alias("l"))
-    got = {r["other"]: r for r in near.collect()}
-    assert got[2]["s"] > 0.97 and got[2]["l"] > 0.9 and got[3]["s"] < 0.05 and got[3]["l"] < 0.1
+    own = fingerprints(documents(spark, rows)).select("doc_id", "neighbours")
+    a, b = own.where("doc_id = 1"), own.where("doc_id > 1").toDF("other", "other_neighbours")
+    near = a.join(b, how="cross").select("other", likeness("neighbours", "other_neighbours").alias("l"))
+    got = {r["other"]: r["l"] for r in near.collect()}
+    assert got[2] > 0.95 and got[3] < 0.1
+
+
+def hashed(*values):
+    """Hashes of texts and longs, chained as the seed of the next, as a signed number."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64(v.encode() if isinstance(v, str) else (v % 2**64).to_bytes(8, "little"), seed=h).intdigest()
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plainly(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text.replace("Σ", "σ").lower()).strip(" ")
+
+
+def hashes_of(text, k=10, s=5):
+    """The fingerprint of a text by comparing every k-mer with its inner substrings."""
+    text = plainly(text)
+    if not text:
+        return set()
+    found = []
+    if len(text) < k:
+        found = [(hashed(text) % 2**64 >> 29, 0)]
+    else:
+        inner = [hashed(text[i : i + s]) for i in range(len(text) - s + 1)]
+        for i in range(len(text) - k + 1):
+            if min(inner[i], inner[i + k - s]) <= min(inner[i + 1 : i + k - s]):
+                found.append((hashed(inner[i], inner[i + k - s]) % 2**64 >> 29, i))
+    pairs = [hashed(a, b, j - i) for (a, i), (b, j) in zip(found, found[1:], strict=False)]
+    if found:
+        pairs.append(hashed(found[-1][0]))
+    return {p % 2**64 >> 32 for p in pairs}
+
+
+def reported(rows):
+    """(id, fingerprint, edited fingerprint, near_edited, near_next) in plain Python; ids of None come last."""
+    def like(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (hashed(r[1]), r[1]))
+    rows.sort(key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0), reverse=True)
+    rows = [r for key in dict.fromkeys(r[0] for r in rows) for r in sorted((x for x in rows if x[0] == key), key=lambda r: (hashed(r[1]), r[1]))]
+    out = []
+    for (i, t), (_, following) in zip(rows, [*rows[1:], rows[0]] if rows else [], strict=True):
+        cut = len(t) // 3
+        edited = t[: len(t) - cut] + following[:cut]
+        own, after, changed = hashes_of(t), hashes_of(following), hashes_of(edited)
+        out.append((i, hashlib.sha256(edited.encode()).hexdigest(), own, changed, round(like(own, changed), 9), round(like(own, after), 9)))
+    return sorted(out, key=repr)
+
+
+def report_of(df):
+    def parts(v):
+        return {int(v[j + 1 : j + 9], 16) for j in range(0, len(v), 9)}
+
+    got = edit_report(df).collect()
+    assert all(len(parts(r["fingerprint"])) * 9 == len(r["fingerprint"]) for r in got)
+    assert {v for r in got for v in r["fingerprint"][::9]} <= {"1"}
+    return sorted(
+        (
+            (r["doc_id"], r["edited_sha256"], parts(r["fingerprint"]), parts(r["edited_fingerprint"]), round(r["near_edited"], 9), round(r["near_next"], 9))
+            for r in got
+        ),
+        key=repr,
+    )
+
+
+def test_fingerprints_equal_plain_python(spark, sf):
+    rng = random.Random(8)
+    pieces = ["Word ", "ΣΑΣ", " ", "\n\t", "x", "İ", "éa", "中文字", "0123456789", "the same line of text again "]
+    rows = list(enumerate(mixed_texts(pieces, 250, 14, 9))) + [(1000 + i, " " * i + "ab" + " " * i) for i in range(6)]
+    rows += [(2000 + r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
+    rng.shuffle(rows)
+    assert report_of(documents(spark, rows)) == reported(rows)
+    assert report_of(documents(spark, AWKWARD[:7] + AWKWARD[8:])) == reported(AWKWARD[:7] + AWKWARD[8:])
+
+
+def test_neighbours_in_id_order_for_any_id(spark, monkeypatch):
+    monkeypatch.setattr(module, "SLICE_ROWS", 5)
+    rng = random.Random(10)
+    texts = mixed_texts(["one ", "two ", "three ", "x"], 240, 12, 11)
+    for key in (
+        lambda i: None if i % 3 == 0 else 7 if i % 3 == 1 else i,
+        lambda i: None if i % 5 == 0 else f"https://same.org/{rng.randrange(40):02}",
+        lambda i: None,
+    ):
+        rows = [(key(i), t) for i, t in enumerate(texts)] + [(key(1), texts[1])] * 30
+        kind = "string" if any(isinstance(i, str) for i, _ in rows) else "long"
+        df = spark.createDataFrame([(i, t, 1) for i, t in rows], f"doc_id {kind}, text string, neighbours int")
+        assert report_of(df) == reported(rows)
+    cut = module.slices(df.withColumn("tie", module.F.xxhash64("text")), "doc_id", "tie")
+    assert cut.groupBy("_slice", "_part").count().agg({"count": "max"}).first()[0] < 60
 
 
 def near_next(spark, pairs):
@@ -184,3 +277,10 @@ def test_urls_without_labels(spark):
     assert judge_urls(one.limit(0)).count() == 0
     block = spark.createDataFrame([(1, "http://a.net/es/x"), (2, "http://b.org/")], "page_id long, url string")
     assert {r["verdict"] for r in judge_urls(block).collect()} == {"block"}
+
+
+def test_hot_urls_are_drawn_once(spark):
+    rows = [(i, "http://a.com/x" if i % 2 else "http://b.net/es/y") for i in range(30_000)] + [(-1, "http://c.org/z")]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"))
+    counts = {(r["rule"], r["verdict"]): r["count"] for r in got.groupBy("rule", "verdict").count().collect()}
+    assert counts["com/", "allow"] == 15_000 and counts["net/es/", "block"] == 15_000 and sum(counts.values()) == 30_001

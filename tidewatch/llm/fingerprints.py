@@ -1,158 +1,165 @@
 """Document fingerprints from closed syncmers. Built-in functions only.
 
 A k-mer of characters is kept when the smallest of the s-mers within it is its first or its last one. Whether it is kept
-depends on its own characters alone, so an edit elsewhere never moves the anchors. The marks keep the places of all anchors:
-two texts are alike as far as their anchors match in place. A fingerprint holds the SKETCH largest anchor hashes.
+depends on its own characters alone, so an edit elsewhere never moves these anchors. A fingerprint is the set of neighbours:
+of every anchor, a hash of itself, of the next one, and of the distance between them. So two texts are alike as far as their
+anchors stand in the same order and at the same distances, wherever the passage has moved to, and likeness is worked out
+from the fingerprints alone.
+
+As anchors are free of context, those of a text pasted together come from those of its parts; only the seam is read again.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters of a k-mer and of an s-mer.
 K = 10
 S = 5
-SKETCH = 64
 #: Bits of a place in packed anchors; texts of more characters than that do not fit a row of arrays.
-PLACE = 27
+PLACE = 28
+#: Bits of a neighbour hash.
+BITS = 32
 #: Rows of one ordered slice when neighbours in id order are looked up, and the most slices.
 SLICE_ROWS = 250
 MOST_SLICES = 8192
+#: Bytes of a text id, behind what all of them begin with, that tell slices apart.
+ID_BYTES = 6
 
 
 def plain(text: str) -> F.Column:
-    """The text in lower case, with runs of white space as one blank and none at the ends."""
-    return F.btrim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " "))
+    """The text in lower case, with runs of white space as one blank and none at the ends. The capital sigma, the one letter
+    whose lower case depends on what follows, becomes the small one first, so parts of a text give parts of its plain form."""
+    return F.btrim(F.regexp_replace(F.lower(F.replace(F.expr(text), F.lit("Σ"), F.lit("σ"))), r"[\x20\x09-\x0D]+", " "))
 
 
-def with_marks(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds `out`: for every k-mer of characters its hash if it is a closed syncmer, else NULL; the index is its place. A text
-    of fewer than k characters has one mark, an empty one none. `text` must not be null. With k <= 2 s the s-mers at both
-    ends cover the k-mer, so their hashes make its hash."""
+def anchors(own: str, k: int = K, s: int = S) -> str:
+    """SQL of the anchors of a plain text, in order: hash (35 bits) and place, packed. A text of fewer than k characters has
+    one, an empty one none. With k <= 2 s the s-mers at both ends cover the k-mer, so their hashes make its hash."""
     if not s < k <= 2 * s:
         raise ValueError("Closed syncmers here need s < k <= 2 s")
-    own, m, last = f"_{out}_plain", f"_{out}_inner", k - s
-    df = df.withColumn(own, plain(text))
-    inner = F.transform(F.regexp_extract_all(own, F.lit(f"(?s)(?=(.{{{s}}}))."), F.lit(1)), lambda w: F.xxhash64(w))
-    df = df.withColumn(m, inner)
+    last = k - s
+    inner = f"transform(regexp_extract_all({own}, '(?s)(?=(.{{{s}}})).', 1), w -> xxhash64(w))"
     between = [f"v[i + {j}]" for j in range(1, last)]
     closed = f"least(x, v[i + {last}]) <= {f'least({", ".join(between)})' if len(between) > 1 else ''.join(between)}" if between else "true"
-    mark = f"if({closed}, shiftrightunsigned(xxhash64(x, v[i + {last}]), 16), CAST(NULL AS BIGINT))"
-    marks = f"transform(array({m}), v -> transform(slice(v, 1, size(v) - {last}), (x, i) -> {mark}))[0]"
-    few = f"if({own} = '', cast(array() as array<bigint>), array(shiftrightunsigned(xxhash64({own}), 16)))"
-    return df.withColumn(out, F.expr(f"if(size({m}) <= {last}, {few}, {marks})")).drop(own, m)
-
-
-def _with_later(array: str, fold: str) -> str:
-    """`array` zipped with itself from one place later on; `array` is worked out once."""
-    return f"transform(array({array}), v -> zip_with(v, slice(v, 2, size(v)), {fold}))[0]"
-
-
-def sketch(marks: str) -> F.Column:
-    """The SKETCH largest distinct anchor hashes (48 bits), in falling order, as hexadecimal."""
-    short = f"slice(sort_array(array_distinct(array_compact({marks})), false), 1, {SKETCH})"
-    return F.expr(f"transform({short}, x -> lpad(lower(hex(x)), 12, '0'))")
-
-
-def likeness(a: str, b: str) -> F.Column:
-    """Estimated Jaccard likeness of two sketches: the share of the first values of their union that both hold. Two
-    empty sketches are alike (1)."""
-    union = f"slice(sort_array(array_union({a}, {b}), false), 1, {SKETCH})"
-    return F.expr(f"""CASE WHEN size({a}) = 0 AND size({b}) = 0 THEN 1.0D
-        ELSE size(array_intersect({union}, array_intersect({a}, {b}))) / cast(size({union}) as double) END""")
-
-
-def _anchors(marks: str) -> str:
-    """The anchors of an array of marks, packed: hash (35 bits), place, and a bit for the side."""
-    return f"array_compact(transform({marks}, (x, i) -> shiftleft(x & {(1 << 35) - 1}L, {PLACE + 1}) | (2L * i)))"
-
-
-def _matched(a: str, b: str, value: str) -> F.Column:
-    """`value` of na and nb (anchors of each side) and ma and mb (those of them that the other side has in place).
-
-    Anchors of one hash are paired with their neighbours by place. A pair counts if both stand at the same place, or if
-    another pair has the same place difference: text moved as a whole is in place, lone coincidences are not."""
-    mask, zero = (1 << PLACE) - 1, 1 << PLACE
-    place = f"(shiftright(%s, 1) & {mask}L)"
-    x, y = place % "x", place % "y"
-    both = f"sort_array(concat({a}, transform({b}, x -> x | 1L)))"
-    # Place difference and place in a, packed.
-    pair = f"if((x & 1L) = 0, shiftleft({y} - {x} + {zero}L, {PLACE}) | {x}, shiftleft({x} - {y} + {zero}L, {PLACE}) | {y})"
-    pairs = _with_later(both, f"(x, y) -> if((x & 1L) != (y & 1L) AND shiftright(x, {PLACE + 1}) = shiftright(y, {PLACE + 1}), {pair}, CAST(NULL AS BIGINT))")
-    same = f"shiftright(x, {PLACE}) = shiftright(y, {PLACE})"
-    kept = f"""transform(array(sort_array(array_compact({pairs}))), p -> array_compact(concat(filter(p, x -> shiftright(x, {PLACE}) = {zero}L),
-        zip_with(p, slice(p, 2, size(p)), (x, y) -> if({same}, x, CAST(NULL AS BIGINT))),
-        zip_with(p, slice(p, 2, size(p)), (x, y) -> if({same}, y, CAST(NULL AS BIGINT))))))[0]"""
-    counts = f"""transform(array({kept}), p -> named_struct('na', size({a}), 'nb', size({b}),
-        'ma', size(array_distinct(transform(p, x -> x & {mask}L))),
-        'mb', size(array_distinct(transform(p, x -> (x & {mask}L) + shiftright(x, {PLACE}))))))"""
-    return F.expr(f"transform({counts}, c -> {value})[0]")
-
-
-def alike_in_place(a: str, b: str) -> F.Column:
-    """Likeness of two arrays of anchors: those matched in place over all of both. Two empty ones are alike (1)."""
-    return _matched(a, b, "CASE WHEN c.na + c.nb = 0 THEN 1.0D ELSE least(c.ma, c.mb) / cast(c.na + c.nb - least(c.ma, c.mb) as double) END")
-
-
-def aligned_share(a: str, b: str) -> F.Column:
-    """Positional matching of two arrays of marks: of the anchors of `a`, the share that `b` has in place."""
-    return _matched(_anchors(a), _anchors(b), "if(c.na = 0, 0.0D, c.ma / cast(c.na as double))")
-
-
-def slices(df: DataFrame, id: str) -> DataFrame:
-    """Adds `_slice`: rows cut by ranges of the id into slices of about SLICE_ROWS rows; equal ids share a slice. Null ids
-    come below all others. Bounds are quantiles: at most MOST_SLICES numbers, so slices grow with the table beyond that."""
-    at = F.coalesce(F.col(id).cast("double"), F.lit(float("-inf")))
-    wanted = min(MOST_SLICES, df.count() // SLICE_ROWS)
+    packed = f"shiftleft(shiftrightunsigned(%s, 29), {PLACE})"
+    mark = f"if({closed}, {packed % f'xxhash64(x, v[i + {last}])'} | cast(i as bigint), CAST(NULL AS BIGINT))"
+    marks = f"array_compact(transform(slice(v, 1, size(v) - {last}), (x, i) -> {mark}))"
+    few = f"if({own} = '', cast(array() as array<bigint>), array({packed % f'xxhash64({own})'}))"
+    return f"transform(array({inner}), v -> if(size(v) <= {last}, {few}, {marks}))[0]"
+
+
+def neighbours(packed: str) -> str:
+    """SQL of the distinct neighbour hashes of an array of anchors; the last anchor has itself alone."""
+    mask = (1 << PLACE) - 1
+    pair = f"xxhash64(shiftright(x, {PLACE}), shiftright(y, {PLACE}), (y & {mask}L) - (x & {mask}L))"
+    own = f"if(y IS NULL, xxhash64(shiftright(x, {PLACE})), {pair})"
+    pairs = f"zip_with(v, slice(v, 2, size(v)), (x, y) -> shiftrightunsigned({own}, {64 - BITS}))"
+    return f"array_distinct(transform(array({packed}), v -> {pairs})[0])"
+
+
+def written(hashes: str) -> F.Column:
+    """A fingerprint as text: for every hash a 1 and its hexadecimal digits."""
+    return F.expr(f"array_join(transform({hashes}, x -> hex(x | {1 << BITS}L)), '')")
+
+
+def likeness(a: str, b: str, common: F.Column | None = None) -> F.Column:
+    """Jaccard likeness of two fingerprints, given as arrays of hashes. Two empty ones are alike (1). `common`: the number
+    of hashes that both have, where it is known."""
+    both = F.size(F.array_intersect(a, b)) if common is None else common
+    total = F.size(a) + F.size(b)
+    return F.when(total == 0, 1.0).otherwise(both / (total - both))
+
+
+def id_code(df: DataFrame, id: str) -> F.Column:
+    """A double that never falls as the id rises; null ids have none. Text ids go by their first bytes behind what all of
+    them share; ids that are neither numbers, times nor texts all have 0."""
+    kind = df.schema[id].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(F.col(id).cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        ends = df.agg(F.min(id).alias("low"), F.max(id).alias("high")).first()
+        shared = len(os.path.commonprefix([ends["low"] or "", ends["high"] or ""]).encode())
+        behind = f"hex(substring(encode(`{id}`, 'utf-8'), {shared + 1}, {ID_BYTES}))"
+        return F.expr(f"cast(conv(rpad({behind}, {2 * ID_BYTES}, '0'), 16, 10) as double)")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return F.col(id).cast("double")
+    return F.when(F.col(id).isNotNull(), F.lit(0.0))
+
+
+def slices(df: DataFrame, id: str, tie: str) -> DataFrame:
+    """Adds `_slice` and `_part`: rows cut by ranges of the id into slices of about SLICE_ROWS rows. Null ids come below all
+    others. Bounds are quantiles: at most MOST_SLICES numbers, so slices grow with the table beyond that. A slice that holds
+    far more rows than that, as one id has many (null ids, say), is cut into parts: that id's rows by ranges of their tie, a
+    64-bit hash, behind part 0, which has the others."""
+    at = F.coalesce(id_code(df, id), F.lit(float("-inf")))
+    rows = df.count()
+    wanted = min(MOST_SLICES, rows // SLICE_ROWS)
     bounds: list[float] = []
     if wanted > 1:
         shares = F.array(*[F.lit(i / wanted) for i in range(1, wanted)])
         found = df.agg(F.percentile_approx(at, shares, F.lit(20 * wanted)).alias("q")).first()["q"]
-        bounds = sorted({b for b in found if b > float("-inf")})
+        bounds = sorted({b for b in found if float("-inf") < b < float("inf")})
     if not bounds:
-        return df.withColumn("_slice", F.lit(0.0))
-    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_at", outputCol="_slice")
-    return cut.transform(df.withColumn("_at", at)).drop("_at")
+        cut = df.withColumn("_slice", F.lit(0))
+    else:
+        edges = [float("-inf"), *bounds, float("inf")]
+        own = Bucketizer(splits=edges, inputCol="_at", outputCol="_slice", handleInvalid="keep")
+        cut = own.transform(df.withColumn("_at", at)).drop("_at").withColumn("_slice", F.col("_slice").cast("int"))
+    if wanted < 2:
+        return cut.withColumn("_part", F.lit(0))
+    share = 4 * rows // wanted
+    lowest = F.min(F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"))).alias("low")
+    full = cut.groupBy("_slice").agg(F.count("*").alias("rows"), lowest).where(F.col("rows") > share)
+    full = full.select("_slice", F.col("low.id").alias("_low"), F.ceil(F.col("rows") / SLICE_ROWS).alias("_parts"))
+    # At most one row for every slice.
+    wide = cut.join(F.broadcast(full), "_slice", "left")
+    part = F.floor((F.col(tie) / 2.0**64 + 0.5) * F.col("_parts")).cast("int") + 1
+    hot = F.col("_parts").isNotNull() & F.col(id).eqNullSafe(F.col("_low"))
+    return wide.withColumn("_part", F.when(hot, part).otherwise(0)).drop("_low", "_parts")
 
 
 def with_next(
     df: DataFrame, id: str, columns: list[str], ties: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda x: x
 ) -> DataFrame:
-    """Adds next_<column>: the values of the row with the next smaller id (ties by `ties`); after the last comes the first.
+    """Adds next_<column>: the values of the row with the next smaller id (ties by `ties`, the first of which is a hash);
+    after the last comes the first.
 
     Rows are ordered within slices of the id range; the first row of every slice is copied to the slice above it as well,
     so no slice has to see another and no window holds more than a slice. `prepare` adds columns where the rows have been
     moved to, so what it adds is not moved.
     """
-    cut = slices(df, id)
+    cut = slices(df, id, ties[0])
     order = [F.col(id).desc_nulls_last(), *[F.col(t) for t in ties]]
-    tops = cut.groupBy("_slice").agg(F.max(F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"))).alias("top"))
-    held = sorted(((r["_slice"], r["top"]["id"]) for r in tops.collect()), reverse=True)
-    above = {low[0]: high[0] for high, low in zip(held, held[1:], strict=False)}
-    above |= {held[0][0]: held[-1][0]} if held else {}
+    own = ["_slice", "_part"]
+    tops = cut.groupBy(*own).agg(F.max(F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"))).alias("top"))
+    # In reading order: from the highest ids down, parts of a slice upwards.
+    held = sorted(((r["_slice"], r["_part"], r["top"]["id"]) for r in tops.collect()), key=lambda h: (-h[0], h[1]))
+    above = [(*low, *high[:2]) for high, low in zip([held[-1], *held], held, strict=False)] if held else []
     top = df.sparkSession.createDataFrame(
-        [(s, above[s], t) for s, t in held], f"_slice double, _above double, _top {dict(df.dtypes)[id]}"
+        above, f"_slice int, _part int, _top {dict(df.dtypes)[id]}, _above int, _above_part int"
     )
-    # At most MOST_SLICES rows of three numbers.
-    candidates = cut.join(F.broadcast(top), "_slice").where(F.col(id).eqNullSafe(F.col("_top")))
-    first = F.row_number().over(Window.partitionBy("_slice").orderBy(*order)) == 1
-    copies = candidates.withColumn("_first", first).where("_first").withColumn("_slice", F.col("_above"))
+    candidates = cut.join(F.broadcast(top), own).where(F.col(id).eqNullSafe(F.col("_top")))
+    first = F.row_number().over(Window.partitionBy(*own).orderBy(*order)) == 1
+    copies = candidates.withColumn("_first", first).where("_first").withColumns({"_slice": F.col("_above"), "_part": F.col("_above_part")})
     rows = cut.withColumn("_copy", F.lit(0)).unionByName(copies.select(*cut.columns, F.lit(1).alias("_copy")))
-    window = Window.partitionBy("_slice").orderBy("_copy", *order)
-    # A whole number: windows over doubles want them normalised, and would move the rows again.
-    moved = rows.withColumn("_slice", F.col("_slice").cast("int")).repartition("_slice")
-    ahead = prepare(moved).withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
-    return ahead.where("_copy = 0").drop("_copy", "_slice")
+    window = Window.partitionBy(*own).orderBy("_copy", *order)
+    ahead = prepare(rows.repartition(*own)).withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
+    return ahead.where("_copy = 0").drop("_copy", *own)
 
 
 def fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of `df`: `id`, text, n_chars, sketch_marks (hash or NULL per place) and sketch. Null texts count as empty, null ids stay,
-    repeated rows each give a row, an empty table gives none; other columns are not read. No shuffle."""
-    return _with_sketch(_texts(df, id, text))
+    """Per row of `df`: `id`, text, n_chars and neighbours (array of hashes, the fingerprint). Null texts count as empty and
+    have none; null ids stay, repeated rows each give a row, an empty table gives none; other columns are not read. No
+    shuffle."""
+    rows = _texts(df, id, text).withColumn("_plain", plain("text")).withColumn("_anchors", F.expr(anchors("_plain")))
+    return rows.select(F.col("_id").alias(id), "text", "n_chars", F.expr(neighbours("_anchors")).alias("neighbours"))
 
 
 def _texts(df: DataFrame, id: str, text: str) -> DataFrame:
@@ -160,29 +167,51 @@ def _texts(df: DataFrame, id: str, text: str) -> DataFrame:
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-def _with_sketch(df: DataFrame, text: str = "text", out: str = "sketch") -> DataFrame:
-    return with_marks(df, text, f"{out}_marks").withColumn(out, sketch(f"{out}_marks"))
+def _with_anchors(df: DataFrame) -> DataFrame:
+    return df.withColumn("_plain", plain("text")).withColumn("own", F.expr(anchors("_plain"))).drop("_plain")
 
 
-def _with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    return _with_sketch(df, text, f"{out}_sketch").withColumn(f"{out}_anchors", F.expr(_anchors(f"{out}_sketch_marks"))).drop(f"{out}_sketch_marks")
+def spliced(k: int = K) -> str:
+    """SQL of the anchors of `_front` and `_back` (plain texts, `_gap` in between) pasted together, from `own` and
+    `next_own`, the anchors of texts that they begin: anchors inside either part stay, the seam is read. Lengths come as
+    columns, as a text's is counted anew wherever it is asked for."""
+    mask = (1 << PLACE) - 1
+    seam = f"concat(right(_front, {k - 1}), _gap, left(_back, {k - 1}))"
+    return f"""if(_behind + _back_chars < {k}, {anchors("concat(_front, _gap, _back)", k)}, concat(
+        filter(own, x -> (x & {mask}L) <= _front_chars - {k}),
+        if(length({seam}) < {k}, cast(array() as array<bigint>), transform({anchors(seam, k)}, x -> x + greatest(_front_chars - {k - 1}, 0))),
+        transform(filter(next_own, x -> (x & {mask}L) <= _back_chars - {k}), x -> x + _behind)))"""
 
 
 def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of all documents, of the same documents with their last third replaced by the start of the next one
-    (descending id, ties by text, the first after the last), and the likeness in place of both and of neighbours."""
+    """Per row of `df`: `id`, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+
+    The edited text is the text with its last third replaced by the start of the next one (descending id, ties by a hash of
+    the text, then the text; the first after the last). near_edited is the likeness of both fingerprints, near_next that of
+    the fingerprints of neighbours. Null and empty texts have the empty fingerprint, which is like itself (1) and unlike all
+    others (0); texts under 10 characters have one hash. Null ids come last, whatever their number; equal ids and repeated
+    rows each give a row; an empty table gives none. Ids may be numbers, times or texts; other columns are not read.
+    """
     rows = _texts(df, id, text).withColumn("_tie", F.xxhash64("text"))
-    rows = with_next(rows, "_id", ["text", "own_anchors"], ["_tie", "text"], lambda x: _with_anchors(x, "text", "own"))
-    third = "n_chars div 3"
-    edited = F.expr(f"concat(left(text, int(n_chars - {third})), left(next_text, int({third})))")
-    rows = rows.withColumn("edited", edited).drop("text", "next_text")
-    rows = _with_anchors(rows, "edited", "edited")
+    rows = with_next(rows, "_id", ["text", "own"], ["_tie", "text"], _with_anchors)
+    third = "int(n_chars div 3)"
+    rows = rows.withColumn("_first", F.expr(f"left(text, int(n_chars) - {third})")).withColumn("_then", F.expr(f"left(next_text, {third})"))
+    rows = rows.withColumns({"_front": plain("_first"), "_back": plain("_then"), "edited_sha256": F.expr("sha2(concat(_first, _then), 256)")})
+    blank = r"(right(_first, 1) RLIKE r'[\x20\x09-\x0D]' OR left(_then, 1) RLIKE r'[\x20\x09-\x0D]')"
+    rows = rows.withColumn("_gap", F.expr(f"if(_front <> '' AND _back <> '' AND {blank}, ' ', '')"))
+    counts = {"_front_chars": F.length("_front"), "_back_chars": F.length("_back"), "_behind": F.length("_front") + F.length("_gap")}
+    rows = rows.withColumns(counts)
+    rows = rows.select("_id", "n_chars", "edited_sha256", "own", "next_own", F.expr(spliced()).alias("edited"))
+    hashes = [F.expr(neighbours(c)).alias(c) for c in ("own", "next_own", "edited")]
+    rows = rows.select("_id", "n_chars", "edited_sha256", *hashes)
+    common = [F.size(F.array_intersect("own", other)).alias(f"_common_{other}") for other in ("edited", "next_own")]
+    rows = rows.select("*", *common)
     return rows.select(
         F.col("_id").alias(id),
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        F.array_join("own_sketch", "").alias("fingerprint"),
-        F.array_join("edited_sketch", "").alias("edited_fingerprint"),
-        alike_in_place("own_anchors", "edited_anchors").alias("near_edited"),
-        alike_in_place("own_anchors", "next_own_anchors").alias("near_next"),
+        "edited_sha256",
+        written("own").alias("fingerprint"),
+        written("edited").alias("edited_fingerprint"),
+        likeness("own", "edited", F.col("_common_edited")).alias("near_edited"),
+        likeness("own", "next_own", F.col("_common_next_own")).alias("near_next"),
     )
