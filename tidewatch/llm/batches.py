@@ -10,7 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Texts are handed to the function in pieces of about this many characters, whole texts each.
-PIECE_CHARS = 3_000_000
+PIECE_CHARS = 1_500_000
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_CHARS) -> Iterator[dict[str, list]]:
