@@ -185,3 +185,38 @@ def test_csv_round_trip(spark):
     inferred = files.read_csv(spark, path, ts="ts")
     assert dict(inferred.dtypes)["ts"] == "timestamp"
 
+
+
+class Cell:
+    """A state variable of one key."""
+
+    def __init__(self):
+        self.kept = None
+
+    def exists(self):
+        return self.kept is not None
+
+    def get(self):
+        return self.kept
+
+    put = update = lambda self, value: setattr(self, "kept", value)
+
+
+def test_windows_of_a_series_leave_in_bounded_strips(spark):
+    live = load_series(spark.createDataFrame([], SCHEMA), ["key"], "ts", "id", ["x"])
+    step = windows.CountWindows(("key",), ["ts", "id", "x"], ["ts", "id"], windows._row_type(live), 60, 10, "UTC")
+    step.recent, step.seen = Cell(), Cell()
+    n, at = 20_000, 0
+    pdf = pd.DataFrame({"key": "a", "ts": pd.Timestamp("2024-03-01") + pd.to_timedelta(range(n), unit="s"), "id": range(n), "x": 1.0})
+    # The first micro-batch is shorter than a window; the second comes in pieces, newest first.
+    for pieces in ([pdf[:45]], [pdf[low : low + 1000] for low in range(19_045, 44, -1000)]):
+        for frame_ in step.handleInputRows(("a",), iter(pieces), None):
+            assert len(frame_) <= windows.STRIPS and frame_["_windows"].max() <= windows.STRIP
+            assert frame_["id"].map(len).sum() <= windows.STRIPS * (10 * windows.STRIP + 60)
+            for row in frame_.to_dict("records"):
+                assert row["_first"] == at
+                start = row["_first"] * 10
+                assert list(row["id"]) == list(range(start, start + row["_windows"] * 10 + 50))
+                assert row["ts"][0] == (pdf["ts"][start] - pd.Timestamp(0)) // pd.Timedelta("1us")
+                at += row["_windows"]
+    assert at == (n - 60) // 10 + 1 and step.seen.kept == (n,) and [r[1] for r in step.recent.kept] == list(range(n - 60, n))
