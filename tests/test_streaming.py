@@ -220,3 +220,30 @@ def test_windows_of_a_series_leave_in_bounded_strips(spark):
                 assert row["ts"][0] == (pdf["ts"][start] - pd.Timestamp(0)) // pd.Timedelta("1us")
                 at += row["_windows"]
     assert at == (n - 60) // 10 + 1 and step.seen.kept == (n,) and [r[1] for r in step.recent.kept] == list(range(n - 60, n))
+
+
+def test_scored_windows_are_stored_once_and_side_by_side(spark, monkeypatch):
+    """Nothing as wide as the features is checkpointed, and features are not shuffled to meet the scores of sequences."""
+    from tidewatch.streaming import scoring
+
+    kept, plans = [], []
+    monkeypatch.setattr(scoring, "pinned", lambda df: kept.append(df.columns) or df)
+    write = StreamScorer._write
+
+    def seen(self, df, table, batch):
+        if table == "predictions":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(self, df, table, batch)
+
+    monkeypatch.setattr(StreamScorer, "_write", seen)
+    pdf = frame(400)
+    table = load_series(spark.createDataFrame(pdf, SCHEMA), ["key"], "ts", "id", ["x"])
+    model = fit_sequence_reconstruction(table, ["x"], length=12)
+    folder = scratch_path(spark, "stored")
+    scorer = StreamScorer(table, {"lstm_autoencoder": model}, folder)
+    scorer(windows.count_windows(table), 0)
+    assert all("rows" in columns for columns in kept)
+    left = plans[0].split("MapInArrow")[0]
+    assert "Window" in left and not any("x_roll_mean_5" in line for line in left.splitlines() if "Exchange" in line)
+    out = spark.read.parquet(f"{folder}/predictions")
+    assert out.count() == 2 * 35 * 60 and "x_roll_mean_5" in out.columns and "_strip" not in out.columns

@@ -192,8 +192,9 @@ def stream_model_alerts(spark, sf):
     """Windows of a stream scored by two stored models, with thresholds kept between micro-batches."""
     s = stream_series(spark, sf)
     table_ = long_series(spark, sf)
-    rows = pinned(stream_features(window_rows(count_windows(table_), table_)))
     names = ["value", "value_roll_mean_5", "value_roll_std_10", "value_diff_1"]
+    # Training reads these columns many times, and no others.
+    rows = pinned(stream_features(window_rows(count_windows(table_), table_)).select("event_type", "window", "event_id", *names))
     key = row_key("event_type", "window", "event_id")
     models = {
         "autoencoder": fit_reconstruction(rows, names),
