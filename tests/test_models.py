@@ -175,3 +175,32 @@ def test_tuning(cloud):
         tune("nearest_neighbours", cloud, NAMES)
     with pytest.raises(ValueError, match="key"):
         tune("isolation_forest", cloud, NAMES)
+
+
+def test_settings_that_differ_in_contamination_share_one_forest(spark, monkeypatch):
+    from tidewatch.models import forest, supervised
+
+    rows = spark.range(400).select("id", *[F.rand(i).alias(n) for i, n in enumerate(NAMES)], (F.col("id") % 10 == 0).cast("int").alias("label"))
+    grown = []
+    monkeypatch.setattr(supervised, "grow_forest", lambda *a, **b: grown.append(b) or forest.grow_forest(*a, **b))
+    key = F.col("id").cast("string")
+    model, best = tune("isolation_forest", rows, NAMES, key=key, grid={"trees": [5], "sample": [32], "contamination": [0.05, 0.2]})
+    want = fit_isolation_forest(rows, NAMES, key, name="isolation_forest_tuned", **best)
+    assert len(grown) == 1 and model.threshold == want.threshold and model.settings == want.settings
+
+
+def test_training_rows_of_sequences_are_dealt_evenly(spark, monkeypatch):
+    from tidewatch.models import supervised
+    from tidewatch import load_series
+
+    seen = []
+
+    def stored(rows):
+        seen.append([len(p) for p in rows.rdd.glom().collect()])
+        return rows
+
+    monkeypatch.setattr(supervised, "pinned", stored)
+    rows = spark.range(3000).select(F.lit("a").alias("k"), "id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5 == 0).cast("int").alias("label"))
+    series = load_series(rows, ["k"], "id", None, ["x"])
+    supervised.fit_sequence_classifier(series, ["x"], length=4, hidden=2, rounds=1)
+    assert sum(seen[0]) == 2997 and max(seen[0]) < 1000

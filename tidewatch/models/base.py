@@ -48,7 +48,10 @@ class FittedModel:
 
     def transform(self, df: DataFrame, keys: tuple[str, ...] | None = None, threshold: float | None = None) -> DataFrame:
         """Adds outputs and flags; a given threshold stands in for the model's own, which stays as it is."""
-        out = self.scored(df, keys)
+        return self.flagged(self.scored(df, keys), threshold)
+
+    def flagged(self, out: DataFrame, threshold: float | None = None) -> DataFrame:
+        """Flags for rows that have this model's scores."""
         flag = as_flag(F.col(f"score_{self.name}") > F.lit(self.threshold if threshold is None else threshold))
         flag = F.when(F.col(f"score_{self.name}").isNotNull(), flag)
         return out.withColumn(f"pred_{self.name}", flag)

@@ -9,6 +9,7 @@ task; scoring runs over Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -57,19 +58,31 @@ def grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list]
     return nodes
 
 
+def walkable(tree: dict) -> dict:
+    """A tree for `path_lengths`: leaves lead to themselves, and every node has its path length."""
+    feature, n = np.asarray(tree["feature"]), len(tree["feature"])
+    leaf, own, depth, steps = feature < 0, np.arange(n), np.zeros(n), 0
+    left, right = np.where(leaf, own, tree["left"]), np.where(leaf, own, tree["right"])
+    level = own[:1]
+    while len(level := level[~leaf[level]]):
+        steps += 1
+        level = np.concatenate([left[level], right[level]])
+        depth[level] = steps
+    children = np.stack([right, left], axis=1).ravel()
+    return {"feature": np.maximum(feature, 0), "cut": np.asarray(tree["cut"]), "children": children, "steps": steps,
+            "length": depth + expected_depth(tree["rows"])}
+
+
 def path_lengths(x: np.ndarray, trees: list[dict]) -> np.ndarray:
     """Mean path length of every row over all trees."""
     total = np.zeros(len(x))
+    cells, start = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
     for t in trees:
-        at, depth = np.zeros(len(x), dtype=int), np.zeros(len(x))
-        moving = t["feature"][at] >= 0
-        while moving.any():
-            f = t["feature"][at[moving]]
-            left = x[moving, f] <= t["cut"][at[moving]]
-            at[moving] = np.where(left, t["left"][at[moving]], t["right"][at[moving]])
-            depth[moving] += 1
-            moving = t["feature"][at] >= 0
-        total += depth + expected_depth(t["rows"][at])
+        t = t if "children" in t else walkable(t)
+        at = np.zeros(len(x), dtype=int)
+        for _ in range(t["steps"]):
+            at = t["children"][2 * at + (cells[start + t["feature"][at]] <= t["cut"][at])]
+        total += t["length"][at]
     return total / len(trees)
 
 
@@ -87,11 +100,12 @@ class IsolationForest(FittedModel):
 
         @F.pandas_udf("double")
         def isolation(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            ready = [walkable(t) for t in trees.value]
             for arrays in batches:
                 if len(arrays) == 0:
                     yield pd.Series([], dtype=float)
                     continue
-                yield pd.Series(2.0 ** (-path_lengths(np.stack(arrays.to_numpy()), trees.value) / scale))
+                yield pd.Series(2.0 ** (-path_lengths(np.stack(arrays.to_numpy()), ready) / scale))
 
         return isolation(self.array(df))
 
@@ -121,23 +135,14 @@ def _drawn(df: DataFrame, key: Column, x: Column, trees: int, sample: int, seed:
     return each.withColumn("_place", place).filter(F.col("_place") <= sample).select("tree", "x")
 
 
-def fit_isolation_forest(
-    df: DataFrame,
-    features: Iterable[str],
-    key: Column,
-    trees: int = 100,
-    sample: int = 256,
-    contamination: float = 0.05,
-    seed: int = 42,
+def grow_forest(
+    df: DataFrame, features: Iterable[str], key: Column, trees: int = 100, sample: int = 256, seed: int = 42,
     name: str = "isolation_forest",
 ) -> IsolationForest:
-    """`key` is a text that names each row; the draw hashes it.
-
-    The threshold is the exact (1 - contamination) quantile of the training scores.
-    """
+    """A forest that scores, without a threshold yet. `key` is a text that names each row; the draw hashes it."""
     cols = checked_features(df, features)
     model = IsolationForest(name, cols, standardised(df, cols))
-    model.settings = {"trees": trees, "sample": sample, "contamination": contamination, "seed": seed}
+    model.settings = {"trees": trees, "sample": sample, "seed": seed}
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
@@ -150,7 +155,32 @@ def fit_isolation_forest(
     model.trees = _arrays(drawn.groupBy("tree").applyInPandas(build, TREE_SCHEMA))
     if not model.trees:
         raise ValueError("No rows to train on")
-    score = f"score_{name}"
-    cut = exact_quantile(model.scored(df.select(*cols)).select(score), score, 1.0 - contamination)
-    model.threshold = cut.first()[0]
     return model
+
+
+def with_contamination(forest: IsolationForest, scores: DataFrame, contamination: float = 0.05) -> IsolationForest:
+    """The forest with the exact (1 - contamination) quantile of its training scores as threshold; trees are shared."""
+    score = f"score_{forest.name}"
+    cut = exact_quantile(scores.select(score), score, 1.0 - contamination).first()[0]
+    settings = {k: forest.settings[k] for k in ("trees", "sample")} | {"contamination": contamination, "seed": forest.settings["seed"]}
+    model = replace(forest, threshold=cut, settings=settings)
+    model.trees = forest.trees
+    return model
+
+
+def fit_isolation_forest(
+    df: DataFrame,
+    features: Iterable[str],
+    key: Column,
+    trees: int = 100,
+    sample: int = 256,
+    contamination: float = 0.05,
+    seed: int = 42,
+    name: str = "isolation_forest",
+) -> IsolationForest:
+    """`key` is a text that names each row; the draw hashes it.
+
+    The threshold is the exact (1 - contamination) quantile of the training scores.
+    """
+    forest = grow_forest(df, features, key, trees, sample, seed, name)
+    return with_contamination(forest, forest.scored(df.select(*forest.features)), contamination)
