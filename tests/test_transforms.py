@@ -177,3 +177,18 @@ def test_feature_sets_have_the_documented_size(spark):
     assert len(features(out)) == 172
     assert out.filter(" OR ".join(f"`{c}` IS NULL" for c in features(out))).count() == 0
     assert len(features(fallback_features(s, ["x"]))) == 4 + 12 + 6
+
+
+def test_small_groups_of_a_long_spectrum_come_in_bundles(spark, monkeypatch):
+    from tidewatch.operators import longspectrum
+
+    s = series(spark, frame(150, keys=("a", "b", "c")))
+    found = spectral_features(s, ["x", "y"], whole_rows=100, piece=16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "FlatMapGroupsInArrow" in line]
+    assert steps and all("[_bundle" in line for line in steps)
+    # Many bundles, or one: the groups in them are the same.
+    monkeypatch.setattr(longspectrum, "BUNDLE", 32)
+    many = spectral_features(s, ["x", "y"], whole_rows=100, piece=16)
+    a, b = (df.toPandas().sort_values("key").reset_index(drop=True) for df in (found, many))
+    pd.testing.assert_frame_equal(a, b)

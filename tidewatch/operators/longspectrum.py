@@ -2,8 +2,8 @@
 
 A transform of length n1 * n2 is n2 transforms of length n1 (over the positions that agree modulo n2), a turn of every
 result, and n1 transforms of length n2. The first step groups rows by blocks of residues, the second gathers blocks of
-results, so a group holds about `piece` numbers, or one transform of about the root of the length where that is more. What
-moves between the steps are packed arrays. A length without factors of like size is turned into a convolution with a chirp
+results, so a group holds about `piece` numbers, or one transform of about the root of the length where that is more. Small
+groups come to a task in bundles of about `BUNDLE` numbers. What moves between the steps are packed arrays. A length without factors of like size is turned into a convolution with a chirp
 (a power of two at least twice as long); the inverse transform of that runs backwards over the same groups and takes one
 step more.
 
@@ -13,6 +13,7 @@ the rows beforehand; the strongest frequencies are those of the strongest of eve
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from math import isqrt
 
 import numpy as np
@@ -28,6 +29,8 @@ from tidewatch.session import pinned
 
 #: Numbers one group gathers.
 PIECE = 1 << 20
+#: Numbers of the groups that one call of Python works on.
+BUNDLE = 1 << 19
 _PLAN = "struct<m: bigint, n1: bigint, n2: bigint, chirp: boolean>"
 _PARTIAL = (
     "struct<low: double, mid: double, high: double, centre: double, entropy: double, "
@@ -97,99 +100,119 @@ def long_spectra(rows: DataFrame, keys: list[str], values: list[str], include_dc
 
     plan = facts.withColumn("_plan", planned("_n")).select(*keys, F.col("_n"), "_plan.*", F.array(*map(total, values)).alias("_totals"))
     plan = pinned(plan)
-    dealt = rows.join(small_side(plan, plan.count()), keys)
+    n_series, numbers = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("m"), F.lit(0))).first()
+    bundles = max(1, -(-numbers * (len(values) + 1) // BUNDLE))
+    dealt = rows.join(small_side(plan, n_series), keys)
     width = F.greatest(F.lit(piece) / F.col("n1"), F.lit(1)).cast("bigint")
     dealt = dealt.withColumn("_block", F.floor((F.col("_t") % F.col("n2")) / width))
-    fixed = ["_n", "m", "n1", "n2", "chirp"]
+    fixed, group = ["_n", "m", "n1", "n2", "chirp"], [*keys, "_block"]
     key_schema = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
     chunk = f"{key_schema}, _n bigint, m bigint, n1 bigint, n2 bigint, chirp boolean, _totals array<double>, _block bigint, at bigint, wide bigint, data binary"
 
-    def repeated(table: pa.Table, n: int) -> dict:
-        """Keys and plan of a group, once for every row it puts out."""
-        first = table.slice(0, 1).combine_chunks()
-        return {c: first.column(c).take(pa.array([0] * n)) for c in [*keys, *fixed, "_totals"]}
-
-    def constants(table: pa.Table) -> tuple[int, int, int, int, bool]:
-        return tuple(table[c][0].as_py() for c in fixed)
-
-    def side_by_side(table: pa.Table, height: int, width: int) -> np.ndarray:
+    def groups(table: pa.Table) -> list[np.ndarray]:
+        """Row numbers of every (keys, block) of a bundle."""
+        code = np.zeros(table.num_rows, np.int64)
+        for c in group:
+            own = table[c].combine_chunks().dictionary_encode()
+            place = own.indices.fill_null(len(own.dictionary)).to_numpy(zero_copy_only=False)
+            code = np.unique(code * (len(own.dictionary) + 1) + place, return_inverse=True)[1]
+        order = np.argsort(code, kind="stable")
+        return np.split(order, np.flatnonzero(np.diff(code[order])) + 1)
+
+    def bundled(df: DataFrame, cells: tuple[str, ...], fn: Callable[..., Iterator[tuple]], schema: str, own: dict[str, pa.DataType]) -> DataFrame:
+        """fn(the plan and block of a group, its rows of `cells`) for every group; what it yields are the columns `own`, beside
+        those that a group has once."""
+        once = [*keys, *fixed, "_totals"] if "data" in own else [*keys, "_n"]
+
+        def run(table: pa.Table) -> pa.Table:
+            plans = {c: table[c].to_numpy() for c in [*fixed, "_block"]}
+            held = {c: np.array(table[c].to_pylist(), object) if c == "data" else table[c].to_numpy() for c in cells}
+            totals = table["_totals"]
+            source, out = [], []
+            for at in groups(table):
+                first = at[0]
+                facts = (*(int(plans[c][first]) for c in fixed), int(plans["_block"][first]))
+                for row in fn(facts, [held[c][at] for c in cells], lambda i=first: totals[int(i)].as_py()):
+                    source.append(first)
+                    out.append(row)
+            sources = pa.array(source, pa.int64())
+            found = {c: pa.array([row[i] for row in out], kind) for i, (c, kind) in enumerate(own.items())}
+            return pa.table({c: table[c].take(sources) for c in once} | found)
+
+        number = F.pmod(F.xxhash64(*group), F.lit(bundles))
+        return df.withColumn("_bundle", number).groupBy("_bundle").applyInArrow(run, schema)
+
+    def side_by_side(chunks: list[np.ndarray], height: int, width: int) -> np.ndarray:
         """[what, height, width] of the chunks of a group; columns without a chunk are 0."""
         out = None
-        for at, wide, data in zip(*(table[c].to_pylist() for c in ("at", "wide", "data")), strict=True):
+        for at, wide, data in zip(*chunks, strict=True):
             part = np.frombuffer(data, complex).reshape(-1, height, wide)
             if out is None:
                 out = np.zeros((len(part), height, width), complex)
             out[:, :, at : at + wide] = part
         return out
 
-    def chunks(table: pa.Table, cells: np.ndarray, offset: int, height: int) -> pa.Table:
+    def chunks(cells: np.ndarray, offset: int, height: int) -> Iterator[tuple]:
         """Blocks of `height` rows of [what, rows, columns], each a row to put out; their columns start at `offset`."""
-        starts = range(0, cells.shape[1], height)
-        data = [np.ascontiguousarray(cells[:, s : s + height]).tobytes() for s in starts]
-        own = {
-            "_block": pa.array(range(len(data)), pa.int64()),
-            "at": pa.array([offset] * len(data), pa.int64()),
-            "wide": pa.array([cells.shape[2]] * len(data), pa.int64()),
-            "data": pa.array(data, pa.binary()),
-        }
-        return pa.table(repeated(table, len(data)) | own)
-
-    def over_residues(table: pa.Table) -> pa.Table:
-        n, m, n1, n2, chirped = constants(table)
-        t, wide = table["_t"].to_numpy(), max(piece // n1, 1)
-        low = table["_block"][0].as_py() * wide
+        for i, s in enumerate(range(0, cells.shape[1], height)):
+            yield i, offset, cells.shape[2], np.ascontiguousarray(cells[:, s : s + height]).tobytes()
+
+    def over_residues(facts: tuple, held: list[np.ndarray], totals: Callable) -> Iterator[tuple]:
+        n, m, n1, n2, chirped, block = facts
+        t, wide = held[0], max(piece // n1, 1)
+        low = block * wide
         width = min(wide, n2 - low)
         here = np.arange(low, low + width)
         cells = np.zeros((len(values) + chirped, n1, width), complex)
-        for i, v in enumerate(values):
-            x = table[v].to_numpy()
+        for i, x in enumerate(held[1:]):
             cells[i, t // n2, t % n2 - low] = x * np.conj(chirp(t, n)) if chirped else x
         if chirped:
             places = np.arange(n1)[:, None] * n2 + here[None, :]
             back = m - places
             cells[-1] = np.where(places < n, chirp(np.minimum(places, n), n), np.where(back < n, chirp(np.minimum(back, n), n), 0))
-        return chunks(table, np.fft.fft(cells, axis=1) * turned(np.arange(n1), here, m, -1), low, max(piece // n2, 1))
+        return chunks(np.fft.fft(cells, axis=1) * turned(np.arange(n1), here, m, -1), low, max(piece // n2, 1))
 
-    def features(table: pa.Table, k: np.ndarray, power: np.ndarray, n: int) -> pa.Table:
-        totals = table["_totals"][0].as_py()
-        own = {v: pa.array([partial_features(k, p, n, s, include_dc, top)], types[v]) for v, p, s in zip(values, power, totals, strict=True)}
-        return pa.table({c: a for c, a in repeated(table, 1).items() if c in keys or c == "_n"} | own)
+    def features(k: np.ndarray, power: np.ndarray, n: int, totals: list[float]) -> Iterator[tuple]:
+        yield tuple(partial_features(k, p, n, s, include_dc, top) for p, s in zip(power, totals, strict=True))
 
-    def gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, tuple]:
-        n, m, n1, n2, chirped = constants(table)
+    def gathered(facts: tuple, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        _, _, n1, n2, _, block = facts
         high = max(piece // n2, 1)
-        low = table["_block"][0].as_py() * high
+        low = block * high
         k1 = np.arange(low, min(low + high, n1))
-        return k1, side_by_side(table, len(k1), n2), (n, m, n1, n2, chirped)
+        return k1, side_by_side(held, len(k1), n2)
 
-    def over_blocks(table: pa.Table) -> pa.Table:
-        k1, cells, (n, _, n1, n2, _) = gathered(table)
+    def over_blocks(facts: tuple, held: list[np.ndarray], totals: Callable) -> Iterator[tuple]:
+        k1, cells = gathered(facts, held)
+        n, _, n1, n2, _, _ = facts
         spectrum = np.fft.fft(cells, axis=2)
         k = k1[:, None] + n1 * np.arange(n2)[None, :]
-        return features(table, k.ravel(), (np.abs(spectrum) ** 2).reshape(len(values), -1), n)
+        return features(k.ravel(), (np.abs(spectrum) ** 2).reshape(len(values), -1), n, totals())
 
-    def and_back(table: pa.Table) -> pa.Table:
-        k1, cells, (_, m, n1, n2, _) = gathered(table)
+    def and_back(facts: tuple, held: list[np.ndarray], totals: Callable) -> Iterator[tuple]:
+        k1, cells = gathered(facts, held)
+        _, m, n1, n2, _, _ = facts
         spectrum = np.fft.fft(cells, axis=2)
         inner = np.fft.ifft(spectrum[:-1] * spectrum[-1], axis=2) * turned(k1, np.arange(n2), m, 1)
-        return chunks(table, inner.transpose(0, 2, 1), int(k1[0]), max(piece // n1, 1))
+        return chunks(inner.transpose(0, 2, 1), int(k1[0]), max(piece // n1, 1))
 
-    def last_step(table: pa.Table) -> pa.Table:
-        n, _, n1, n2, _ = constants(table)
+    def last_step(facts: tuple, held: list[np.ndarray], totals: Callable) -> Iterator[tuple]:
+        n, _, n1, n2, _, block = facts
         wide = max(piece // n1, 1)
-        low = table["_block"][0].as_py() * wide
+        low = block * wide
         j1 = np.arange(low, min(low + wide, n2))
-        spectrum = np.fft.ifft(side_by_side(table, len(j1), n1), axis=2)
+        spectrum = np.fft.ifft(side_by_side(held, len(j1), n1), axis=2)
         k = j1[:, None] + n2 * np.arange(n1)[None, :]
-        return features(table, k.ravel(), (np.abs(spectrum) ** 2).reshape(len(values), -1), n)
+        return features(k.ravel(), (np.abs(spectrum) ** 2).reshape(len(values), -1), n, totals())
 
     out_schema = f"{key_schema}, _n bigint, " + ", ".join(f"`{v}` {_PARTIAL}" for v in values)
     types = {f.name: f.type for f in to_arrow_schema(_parse_datatype_string(out_schema))}
-    group = [*keys, "_block"]
-    first, turned_first = (dealt.where(w).groupBy(*group).applyInArrow(over_residues, chunk) for w in ("NOT chirp", "chirp"))
-    straight = first.groupBy(*group).applyInArrow(over_blocks, out_schema)
-    back = turned_first.groupBy(*group).applyInArrow(and_back, chunk)
-    parts = straight.unionByName(back.groupBy(*group).applyInArrow(last_step, out_schema))
+    packed = {"_block": pa.int64(), "at": pa.int64(), "wide": pa.int64(), "data": pa.binary()}
+    result, cells, chunk_cells = {v: types[v] for v in values}, ("_t", *values), ("at", "wide", "data")
+    first, turned_first = (bundled(dealt.where(w), cells, over_residues, chunk, packed) for w in ("NOT chirp", "chirp"))
+    straight = bundled(first, chunk_cells, over_blocks, out_schema, result)
+    back = bundled(turned_first, chunk_cells, and_back, chunk, packed)
+    parts = straight.unionByName(bundled(back, chunk_cells, last_step, out_schema, result))
 
     def merged(v: str) -> Column:
         best = F.slice(F.sort_array(F.flatten(F.collect_list(f"{v}.top")), asc=False), 1, top)
