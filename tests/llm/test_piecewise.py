@@ -1,6 +1,8 @@
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -9,6 +11,7 @@ from hypothesis import strategies as st
 
 from tests.llm.helpers import AWKWARD, documents, mixed_texts
 from tidewatch.llm import piecewise
+from tidewatch.llm.batches import cuts, pieces
 from tidewatch.llm.piecewise import BLANK, Decoder, Encoder, Words, decode_pieces, encode_pieces, piece_report, read_vocabulary
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -93,6 +96,25 @@ def test_small_caches_change_nothing(encoder, library, monkeypatch):
         assert flat.tolist() == library.encode(text, add_eos=True)
 
 
+def test_a_worker_holds_little(encoder, library, monkeypatch):
+    # About 130 bytes for a kept answer and 9 for a place; the limits of memory are for two workers of each kind and the JVM.
+    fixed = encoder.step.nbytes + encoder.asked.nbytes + encoder.answered.nbytes
+    assert fixed + 130 * piecewise.CACHE_PAIRS < 50e6
+    monkeypatch.setattr(piecewise, "CACHE_PAIRS", 100)
+    check(Encoder(read_vocabulary(MODEL)), library, mixed_texts(["the", "re", "in", "g", " ", "é", "x"], 300, 40, 17))
+    texts = [None, "", *(c * 20_000 for c in "abcdefgh" * 50), "x" * 900_000, None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    try:
+        rows = [(i, len(t or "")) for part in pieces(cuts([batch], "text", 100_000), "text") for i, t in zip(part["doc_id"], part["text"], strict=True)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == [(i, len(t or "")) for i, t in enumerate(texts)] and peak < 2_500_000
+    sizes = [sum(len(t or "") for t in part.column("text").to_pylist()) for part in cuts([batch, batch.slice(0, 0)], "text", 100_000)]
+    assert max(sizes) == 900_000 and sorted(sizes)[-2] <= 100_000 and len(sizes) < 90
+
+
 def test_compatible_pairs_are_those_that_stay_apart(encoder, library):
     rng = random.Random(15)
     for _ in range(3000):

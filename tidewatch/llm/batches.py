@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -28,6 +30,19 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_CHAR
             yield {k: v[start:] for k, v in columns.items()}
 
 
+def cuts(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of one stay within `limit` bytes, whole rows each; a longer text is alone. A cut copies
+    nothing, so of a large batch only the rows at work become Python objects."""
+    for batch in batches:
+        end = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            held = end[low - 1] if low else 0
+            high = max(int(np.searchsorted(end, held + limit, "right")), low + 1)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def map_texts(
     df: DataFrame,
     fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidewatch.llm.batches import cuts
 from tidewatch.llm.batches import pieces as text_pieces
 
 BLANK = "▁"
@@ -37,16 +38,18 @@ SHORT = 64
 #: Words, and characters of words, that one worker keeps before its cache starts anew.
 CACHE_WORDS = 200_000
 CACHE_CHARS = 8_000_000
-#: Compatibility answers that one worker keeps.
-CACHE_PAIRS = 2_000_000
+#: Compatibility answers that one worker keeps by name, about 130 bytes each.
+CACHE_PAIRS = 50_000
 #: Tokens of a pair, and a token with its length, are packed into one number each.
 PAIR_BITS = 32
 LENGTH_BITS = 16
 LENGTH_MASK = (1 << LENGTH_BITS) - 1
 #: Characters that the automaton in arrays has steps for.
 COLUMNS = 250
-#: Places (as a power of 2) for the answers of the latest pairs.
-SLOT_BITS = 18
+#: Places (as a power of 2) for the answers of the latest pairs, 9 bytes each.
+SLOT_BITS = 20
+#: Bytes of text that are turned into words at a time, whole texts each.
+CUT_BYTES = 750_000
 #: Ids gathered into one output batch.
 BATCH_IDS = 1_000_000
 
@@ -105,7 +108,7 @@ class Encoder:
         self.lengths = np.array([*(len(t) for t in vocabulary.texts), 1], np.int64)
         self._steps()
         self.splits = not any(BLANK in t.lstrip(BLANK) for t in self.id)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.asked, self.answered = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, bool)
 
     def _history(self, text: str) -> tuple[list[tuple[float, str]], list[tuple[float, str]]] | None:
@@ -134,7 +137,7 @@ class Encoder:
         Both tokens go through their own merges, best score first; the union of the symbols that face each other at the
         border wins when it has a better score than what is next on the left, or one as good as what is next on the right.
         """
-        key = (left, right)
+        key = (left << PAIR_BITS) + right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHE_PAIRS:
@@ -262,7 +265,7 @@ class Encoder:
             for t in kept:
                 if len(t) >= depth:
                     number.setdefault(t[:depth], len(number))
-        self.step = np.zeros((len(number), COLUMNS + 1), np.int32)
+        self.step = np.zeros((len(number), COLUMNS + 1), np.uint16 if len(number) <= 1 << 16 else np.int32)
         self.longest = np.zeros(len(number), np.int64)
         self.ends, self.shorter = np.zeros(len(kept) + 1, np.int64), np.zeros(len(kept) + 1, np.int64)
         place = {t: k + 1 for k, t in enumerate(kept)}
@@ -428,7 +431,7 @@ def encode_pieces(df: DataFrame, model_path: str, id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_words(shared.value)
-        for part in text_pieces(batches, text):
+        for part in text_pieces(cuts(batches, text, CUT_BYTES), text):
             offsets, flat = words.encode(part[text], shared.value.end)
             low = 0
             while low < len(part[text]):
