@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, documents, mixed_texts
 from tests.oracle import compare, connect
@@ -189,6 +190,22 @@ def test_fingerprints_equal_plain_python(spark, sf):
     assert report_of(documents(spark, AWKWARD[:7] + AWKWARD[8:])) == reported(AWKWARD[:7] + AWKWARD[8:])
 
 
+def test_only_the_seam_of_an_edited_text_is_read(spark):
+    rng = random.Random(12)
+    parts = ["", "a", "ab cd", "0123456789", *(plainly("".join(rng.choice("abcd ") for _ in range(n))) for n in (8, 11, 14, 19, 30, 45, 900))]
+    ways = (("", ""), (" ", "xyz"), ("", "and so on it went"))
+    rows = [(a, b, gap if a and b else "", a + more, b + more) for a in parts for b in parts for gap, more in ways]
+    df = spark.createDataFrame(rows, "_front string, _back string, _gap string, mine string, after string")
+    df = df.withColumns({c: F.expr(module.links(module.anchors(t))) for c, t in (("own", "mine"), ("next_own", "after"))})
+    df = df.withColumns({f"{c}_hashes": F.expr(module.hashes(c)) for c in ("own", "next_own")})
+    got = module.spliced(df).selectExpr("_front", "_gap", "_back", "edited", "own_hashes", "_rest", "size(_seam) AS seam").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert set(r["edited"]) == hashes_of(r["_front"] + r["_gap"] + r["_back"])
+        assert set(r["edited"]) <= set(r["own_hashes"]) | set(r["_rest"])
+        assert r["seam"] < 20
+
+
 def test_neighbours_in_id_order_for_any_id(spark, monkeypatch):
     monkeypatch.setattr(module, "SLICE_ROWS", 5)
     rng = random.Random(10)

@@ -6,7 +6,7 @@ of every anchor, a hash of itself, of the next one, and of the distance between
 anchors stand in the same order and at the same distances, wherever the passage has moved to, and likeness is worked out
 from the fingerprints alone.
 
-As anchors are free of context, those of a text pasted together come from those of its parts; only the seam is read again.
+As anchors are free of context, neighbours in a text pasted together come from those in its parts; only the seam is read again.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ ID_BYTES = 6
 def plain(text: str) -> F.Column:
     """The text in lower case, with runs of white space as one blank and none at the ends. The capital sigma, the one letter
     whose lower case depends on what follows, becomes the small one first, so parts of a text give parts of its plain form."""
-    return F.btrim(F.regexp_replace(F.lower(F.replace(F.expr(text), F.lit("Σ"), F.lit("σ"))), r"[\x20\x09-\x0D]+", " "))
+    return F.btrim(F.regexp_replace(F.lower(F.replace(F.expr(text), F.lit("Σ"), F.lit("σ"))), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "))
 
 
 def anchors(own: str, k: int = K, s: int = S) -> str:
@@ -46,27 +46,37 @@ def anchors(own: str, k: int = K, s: int = S) -> str:
         raise ValueError("Closed syncmers here need s < k <= 2 s")
     last = k - s
     inner = f"transform(regexp_extract_all({own}, '(?s)(?=(.{{{s}}})).', 1), w -> xxhash64(w))"
-    between = [f"v[i + {j}]" for j in range(1, last)]
-    closed = f"least(x, v[i + {last}]) <= {f'least({", ".join(between)})' if len(between) > 1 else ''.join(between)}" if between else "true"
+    # The smaller end is held against one s-mer after the other, as most k-mers fail at the first ones.
+    left, right = (" AND ".join(f"{end} <= v[i + {j}]" for j in range(1, last)) or "true" for end in ("v[i]", f"v[i + {last}]"))
+    places = f"filter(sequence(0, size(v) - {last + 1}), i -> if(v[i] <= v[i + {last}], {left}, {right}))"
     packed = f"shiftleft(shiftrightunsigned(%s, 29), {PLACE})"
-    mark = f"if({closed}, {packed % f'xxhash64(x, v[i + {last}])'} | cast(i as bigint), CAST(NULL AS BIGINT))"
-    marks = f"array_compact(transform(slice(v, 1, size(v) - {last}), (x, i) -> {mark}))"
+    marks = f"transform({places}, i -> {packed % f'xxhash64(v[i], v[i + {last}])'} | cast(i as bigint))"
     few = f"if({own} = '', cast(array() as array<bigint>), array({packed % f'xxhash64({own})'}))"
     return f"transform(array({inner}), v -> if(size(v) <= {last}, {few}, {marks}))[0]"
 
 
-def neighbours(packed: str) -> str:
-    """SQL of the distinct neighbour hashes of an array of anchors; the last anchor has itself alone."""
+def links(packed: str) -> str:
+    """SQL of the neighbour hash of every anchor of an array, in order, packed behind its place; the last has itself alone."""
     mask = (1 << PLACE) - 1
     pair = f"xxhash64(shiftright(x, {PLACE}), shiftright(y, {PLACE}), (y & {mask}L) - (x & {mask}L))"
     own = f"if(y IS NULL, xxhash64(shiftright(x, {PLACE})), {pair})"
-    pairs = f"zip_with(v, slice(v, 2, size(v)), (x, y) -> shiftrightunsigned({own}, {64 - BITS}))"
-    return f"array_distinct(transform(array({packed}), v -> {pairs})[0])"
+    kept = f"shiftrightunsigned({own}, {64 - BITS}) | shiftleft(x & {mask}L, {BITS})"
+    return f"transform(array({packed}), v -> zip_with(v, slice(v, 2, size(v)), (x, y) -> {kept}))[0]"
+
+
+def hashes(linked: str) -> str:
+    """SQL of the neighbour hashes of an array of links."""
+    return f"transform({linked}, x -> x & {(1 << BITS) - 1}L)"
 
 
-def written(hashes: str) -> F.Column:
+def neighbours(packed: str) -> str:
+    """SQL of the distinct neighbour hashes of an array of anchors."""
+    return f"array_distinct({hashes(links(packed))})"
+
+
+def written(own: str) -> F.Column:
     """A fingerprint as text: for every hash a 1 and its hexadecimal digits."""
-    return F.expr(f"array_join(transform({hashes}, x -> hex(x | {1 << BITS}L)), '')")
+    return F.expr(f"array_join(transform({own}, x -> hex(x | {1 << BITS}L)), '')")
 
 
 def likeness(a: str, b: str, common: F.Column | None = None) -> F.Column:
@@ -167,20 +177,38 @@ def _texts(df: DataFrame, id: str, text: str) -> DataFrame:
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-def _with_anchors(df: DataFrame) -> DataFrame:
-    return df.withColumn("_plain", plain("text")).withColumn("own", F.expr(anchors("_plain"))).drop("_plain")
-
-
-def spliced(k: int = K) -> str:
-    """SQL of the anchors of `_front` and `_back` (plain texts, `_gap` in between) pasted together, from `own` and
-    `next_own`, the anchors of texts that they begin: anchors inside either part stay, the seam is read. Lengths come as
-    columns, as a text's is counted anew wherever it is asked for."""
-    mask = (1 << PLACE) - 1
-    seam = f"concat(right(_front, {k - 1}), _gap, left(_back, {k - 1}))"
-    return f"""if(_behind + _back_chars < {k}, {anchors("concat(_front, _gap, _back)", k)}, concat(
-        filter(own, x -> (x & {mask}L) <= _front_chars - {k}),
-        if(length({seam}) < {k}, cast(array() as array<bigint>), transform({anchors(seam, k)}, x -> x + greatest(_front_chars - {k - 1}, 0))),
-        transform(filter(next_own, x -> (x & {mask}L) <= _back_chars - {k}), x -> x + _behind)))"""
+def _with_links(df: DataFrame) -> DataFrame:
+    return df.withColumn("_plain", plain("text")).withColumn("own", F.expr(links(anchors("_plain")))).drop("_plain")
+
+
+def spliced(df: DataFrame, k: int = K) -> DataFrame:
+    """Adds `edited`: the neighbour hashes of `_front` and `_back` (plain texts, `_gap` in between) pasted together, from
+    `own` and `next_own`, the links of texts that they begin, and their `own_hashes` and `next_own_hashes`; and `_rest`,
+    those of them behind the ones from `own`. A link is free of place, so those between anchors inside either part stay. Read
+    are the seam, from the last anchor of the front to the end of the first one of the back, and the last anchor of all,
+    which has itself alone."""
+    # The bound is held by a lambda of its own: as a column it could be put into the filter, and counted for every link.
+    bound = f"shiftleft(cast(greatest(length(%s) - {k - 1}, 0) as bigint), {BITS})"
+    below = f"size(transform(array({bound}), b -> filter(%s, x -> x < b))[0])"
+    inside = {"_heads": below % ("_front", "own"), "_tails": below % ("_back", "next_own")}
+    place = f"cast(shiftright(get(%s), {BITS}) as int)"
+    ends = {
+        "_from": f"coalesce({place % 'own, _heads - 1'}, 0)",
+        "_until": f"if(_tails = 0, length(_back), {place % 'next_own, 0'} + {k})",
+        "_last": f"coalesce({place % 'next_own, _tails - 1'}, 0)",
+    }
+    read = {
+        "_seam": "concat(substring(_front, _from + 1), _gap, left(_back, _until))",
+        "_end": f"if(_tails = 0, '', substring(_back, _last + 1, {k}))",
+    }
+    found = {c: hashes(links(anchors(c, k))) for c in read}
+    rest = """concat(
+        if(_tails = 0, _seam, slice(_seam, 1, greatest(size(_seam) - 1, 0))),
+        slice(next_own_hashes, 1, greatest(_tails - 1, 0)),
+        _end)"""
+    for columns in (inside, ends, read, found, {"_rest": rest}, {"edited": "concat(slice(own_hashes, 1, greatest(_heads - 1, 0)), _rest)"}):
+        df = df.withColumns({c: F.expr(e) for c, e in columns.items()})
+    return df
 
 
 def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,18 +221,19 @@ def edit_report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     rows each give a row; an empty table gives none. Ids may be numbers, times or texts; other columns are not read.
     """
     rows = _texts(df, id, text).withColumn("_tie", F.xxhash64("text"))
-    rows = with_next(rows, "_id", ["text", "own"], ["_tie", "text"], _with_anchors)
+    rows = with_next(rows, "_id", ["text", "own"], ["_tie", "text"], _with_links)
     third = "int(n_chars div 3)"
     rows = rows.withColumn("_first", F.expr(f"left(text, int(n_chars) - {third})")).withColumn("_then", F.expr(f"left(next_text, {third})"))
     rows = rows.withColumns({"_front": plain("_first"), "_back": plain("_then"), "edited_sha256": F.expr("sha2(concat(_first, _then), 256)")})
     blank = r"(right(_first, 1) RLIKE r'[\x20\x09-\x0D]' OR left(_then, 1) RLIKE r'[\x20\x09-\x0D]')"
     rows = rows.withColumn("_gap", F.expr(f"if(_front <> '' AND _back <> '' AND {blank}, ' ', '')"))
-    counts = {"_front_chars": F.length("_front"), "_back_chars": F.length("_back"), "_behind": F.length("_front") + F.length("_gap")}
-    rows = rows.withColumns(counts)
-    rows = rows.select("_id", "n_chars", "edited_sha256", "own", "next_own", F.expr(spliced()).alias("edited"))
-    hashes = [F.expr(neighbours(c)).alias(c) for c in ("own", "next_own", "edited")]
-    rows = rows.select("_id", "n_chars", "edited_sha256", *hashes)
-    common = [F.size(F.array_intersect("own", other)).alias(f"_common_{other}") for other in ("edited", "next_own")]
+    rows = rows.withColumns({f"{c}_hashes": F.expr(hashes(c)) for c in ("own", "next_own")})
+    rows = spliced(rows)
+    distinct = {"own": "own_hashes", "next_own": "next_own_hashes", "edited": "edited"}
+    rows = rows.select("_id", "n_chars", "edited_sha256", *[F.array_distinct(v).alias(c) for c, v in distinct.items()], "_rest")
+    # All hashes of the edited text but those of the rest are own ones.
+    common_edited = (F.size("edited") - F.size(F.array_except("_rest", "own"))).alias("_common_edited")
+    common = [common_edited, F.size(F.array_intersect("own", "next_own")).alias("_common_next_own")]
     rows = rows.select("*", *common)
     return rows.select(
         F.col("_id").alias(id),
