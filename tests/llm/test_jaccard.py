@@ -7,7 +7,7 @@ import numpy as np
 from tests.llm.helpers import AWKWARD, documents
 from tidewatch.llm import jaccard
 from tidewatch.llm.components import connected
-from tidewatch.llm.jaccard import bands_used, keep_one, leading, ngram_components, signatures
+from tidewatch.llm.jaccard import bands_used, bits_apart, empty_segments, keep_one, leading, likely, ngram_components, segments, signatures, sketch
 from tidewatch.llm.shingles import shingle_sets
 
 
@@ -158,3 +158,22 @@ def test_keep_one_judges_every_text_of_an_id(spark):
     got = keep_one(documents(spark, rows)).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted([(1, w), (2, u), (4, None), (5, ""), (None, w)], key=repr)
     assert keep_one(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for n in (4, 31, 32, 33, 300, 2000):
+        for apart in (0, 1, n // 4, n):
+            pool = np.unique(rng.integers(0, 2**63, 2 * n + apart, np.uint64))
+            a, b = pool[:n], np.sort(np.concatenate([pool[: n - apart // 2], pool[n : n + apart]]))
+            assert bits_apart(sketch(a), sketch(b)) <= len(np.setxor1d(a, b))
+            assert bits_apart(sketch(a), sketch(b)) == bits_apart(sketch(b), sketch(a))
+        assert [empty_segments(a, k) for k in bands_used(n)] == [int((segments(a, k, False)[1] == 0).sum()) for k in bands_used(n)]
+
+
+def test_unlike_pairs_are_dropped_before_their_texts_are_read(spark):
+    pool = [np.arange(low, low + 200, dtype=np.uint64) for low in (0, 10, 120)]
+    rows = [(i, len(s), bytearray(sketch(s))) for i, s in enumerate(pool)]
+    texts = spark.createDataFrame(rows, "h long, n long, sketch binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
+    assert [tuple(r) for r in likely(pairs, texts).collect()] == [(0, 1)]

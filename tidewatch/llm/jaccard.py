@@ -12,7 +12,9 @@ one-deletion neighbourhood (so each such segment counts twice in the pigeonhole)
 families that hold each other's segments by the hundred: sets that meet in the second index form clusters, and those of a
 cluster are compared in blocks of like sizes, after a bound from the number of segments that differ.
 
-Equal sets are merged first, and a pair that is already connected is never looked at again, so copies cost one row each.
+A pair that the index finds is held against the parity sketches of both sets first: sets that differ in d elements have
+sketches that differ in at most d bits, so what differs in more bits than a link may in elements is dropped, and only the
+texts of the rest are read. Equal sets are merged first, and a pair that is already connected is never looked at again, so copies cost one row each.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.batches import map_texts
 from tidewatch.llm.components import connected
-from tidewatch.llm.shingles import mixed, set_keys, shingle_sets
+from tidewatch.llm.shingles import distinct, mixed, set_keys, shingle_sets
 from tidewatch.session import scratch_path
 
 #: Lower ends of the size bands: they double. Sets of fewer than four elements have no partners but equal ones.
@@ -77,6 +79,29 @@ def segments(shingles: np.ndarray, band: int, second: bool) -> tuple[np.ndarray,
     return content[:used], size[:used], used
 
 
+def empty_segments(shingles: np.ndarray, band: int) -> int:
+    """How many of the segments that a set uses in the first index have no element."""
+    top = leading(2 * BANDS[band])
+    used = min(leading(len(shingles)), top)
+    place = (mixed(shingles, 101) % np.uint64(top)).astype(np.int64)
+    return int((np.bincount(place, minlength=top)[:used] == 0).sum())
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bit for every cell: whether an odd number of elements falls there. Between two and four cells an element."""
+    cells = 1 << max(6, (2 * len(shingles) - 1).bit_length())
+    place = (mixed(shingles, 109) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ: at most as many as their sets do in elements. The longer one is folded."""
+    small, large = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(large) > len(small):
+        large = large[: len(large) // 2] ^ large[len(large) // 2 :]
+    return int(np.bitwise_count(small ^ large).sum())
+
+
 def signatures(shingles: np.ndarray, band: int, second: bool) -> np.ndarray:
     """Index keys of a set under a band, with the band in the low bits: the content of its segments that are not empty, in
     the second index with every one-deletion content.
@@ -99,7 +124,7 @@ def signatures(shingles: np.ndarray, band: int, second: bool) -> np.ndarray:
     else:
         content, numbers = content[filled], numbers[filled]
     keys = mixed(mixed(content, 104) + numbers, 105 + second)
-    return np.unique((keys & ~np.uint64((1 << BAND_BITS) - 1)) | np.uint64(band))
+    return distinct((keys & ~np.uint64((1 << BAND_BITS) - 1)) | np.uint64(band))
 
 
 def bands_used(n: int) -> list[int]:
@@ -118,15 +143,15 @@ def handle_of(shingles: np.ndarray, clashes: frozenset[int]) -> tuple[int, bytes
 
 
 def described(docs: DataFrame, id: str, text: str, clashes: frozenset[int]) -> DataFrame:
-    """Per document: doc, key (two hashes of its text), set (16 bytes, NULL when empty), h (handle), n, band, and the empty
-    segments that it has under its band and, where it is used, under the one below."""
+    """Per document: doc, key (two hashes of its text), set (16 bytes, NULL when empty), h (handle), n, band, the empty segments
+    that it has under its band and, where it is used, under the one below, and sketch (NULL for sets that have no band)."""
     kind = dict(docs.dtypes)[id]
 
     def run(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for part in parts:
             sets = shingle_sets(part[text])
             keys = [handle_of(s, clashes) if len(s) else (None, None) for s in sets]
-            empty = [[int((segments(s, b, False)[1] == 0).sum()) for b in bands_used(len(s))] for s in sets]
+            empty = [[empty_segments(s, b) for b in bands_used(len(s))] for s in sets]
             yield {
                 "doc": part[id],
                 "key": part["_key"],
@@ -136,9 +161,10 @@ def described(docs: DataFrame, id: str, text: str, clashes: frozenset[int]) -> D
                 "band": [bands_used(len(s))[0] if len(s) >= 4 else None for s in sets],
                 "empty": [e[0] if e else 0 for e in empty],
                 "empty_below": [e[1] if len(e) > 1 else 0 for e in empty],
+                "sketch": [sketch(s) if len(s) >= 4 else None for s in sets],
             }
 
-    schema = f"doc {kind}, key {KEY}, set binary, h bigint, n bigint, band bigint, empty bigint, empty_below bigint"
+    schema = f"doc {kind}, key {KEY}, set binary, h bigint, n bigint, band bigint, empty bigint, empty_below bigint, sketch binary"
     return map_texts(docs.select(id, text, text_key(text).alias("_key")), run, schema, text)
 
 
@@ -235,16 +261,34 @@ def _unpacked(entries: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def texts_of(docs: DataFrame, text: str, handles: DataFrame, sets: DataFrame) -> DataFrame:
-    """h, n, text: one text for each of the sets in `handles`, found by its key; no text is read as a set for that."""
-    wanted = sets.join(handles, "h", "left_semi").select("h", "n", "key.*")
+    """h, n, sketch, text: one text for each of the sets in `handles`, found by its key; no text is read as a set for that."""
+    wanted = sets.join(handles, "h", "left_semi").select("h", "n", "sketch", "key.*")
     own = docs.select(F.col(text).alias("text"), text_key(text).alias("key")).select("text", "key.*")
-    return own.join(wanted, ["one", "two"]).dropDuplicates(["one", "two"]).select("h", "n", "text")
+    return own.join(wanted, ["one", "two"]).dropDuplicates(["one", "two"]).select("h", "n", "sketch", "text")
+
+
+def likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) without those whose sizes or sketches rule a link out."""
+    left, right = (texts.select(F.col("h").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, x, y = (batch.column(c).to_pylist() for c in ("n", "sketch_a", "sketch_b"))
+            near = [9 * bits_apart(p, q) <= m for m, p, q in zip(n, x, y, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= 80 * union."""
-    left = texts.select(F.col("h").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("h").alias("b"), F.col("text").alias("text_b"))
+    """The pairs (a, b) whose sets have 100 * intersection >= 80 * union. Of the texts those of the pairs alone are moved when
+    the pairs are few."""
+    ends = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h")))
+    own = texts.join(ends, "h", "left_semi")
+    left = own.select(F.col("h").alias("a"), F.col("text").alias("text_a"))
+    right = own.select(F.col("h").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +417,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", ke
     clashes: frozenset[int] = frozenset()
     while True:
         base = stored(described(docs, id, text, clashes), "sets")
-        columns = [F.max(c).alias(c) for c in ("n", "band", "empty", "empty_below")]
+        columns = [F.max(c).alias(c) for c in ("n", "band", "empty", "empty_below", "sketch")]
         same = [F.min("doc").alias("least"), F.min("set").alias("set"), F.max("set").alias("other"), F.min("key").alias("key"), *columns]
         sets = stored(base.where("h IS NOT NULL").groupBy("h").agg(*same), "distinct")
         # Two sets in 2^64: none, or a handful in the largest tables.
@@ -386,13 +430,16 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", ke
     sparse = sets.where(f"greatest(empty, empty_below) > {ALLOWANCE}").select("h")
     texts = stored(texts_of(docs, text, keys.select("h").union(sparse).distinct(), sets), "texts")
 
-    star = stored(verified(best_pivots(keys), texts), "star")
+    def checked(pairs: DataFrame, label: str) -> DataFrame:
+        return stored(verified(stored(likely(pairs, texts), f"likely-{label}"), texts), label)
+
+    star = checked(best_pivots(keys), "star")
     roots = stored(connected(star), "roots")
     waiting = stored(open_keys(keys, roots), "open")
-    links = [star, stored(verified(pairs_within(waiting, sets), texts), "pairs")]
+    links = [star, checked(pairs_within(waiting, sets), "pairs")]
 
     short = short_of_slack(waiting, sets).union(sparse).distinct()
-    second = stored(texts.join(short, "h", "left_semi"), "short")
+    second = stored(texts.select("h", "n", "text").join(short, "h", "left_semi"), "short")
     size = second.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     if size:
         near = stored(repeated_keys(second, "text", True, 2 * size, clashes).distinct(), "near")
