@@ -45,7 +45,11 @@ def anchors(own: str, k: int = K, s: int = S) -> str:
     if not s < k <= 2 * s:
         raise ValueError("Closed syncmers here need s < k <= 2 s")
     last = k - s
-    inner = f"transform(regexp_extract_all({own}, '(?s)(?=(.{{{s}}})).', 1), w -> xxhash64(w))"
+    # Where every character is one byte, an s-mer is read from its place; else all of them are cut out by one expression.
+    bytewise = f"transform(sequence(1, greatest(length(b) - {s - 1}, 1)), i -> xxhash64(substring(b, i, {s})))"
+    bytewise = f"transform(array(encode({own}, 'utf-8')), b -> {bytewise})[0]"
+    matched = f"transform(regexp_extract_all({own}, '(?s)(?=(.{{{s}}})).', 1), w -> xxhash64(w))"
+    inner = f"if(length({own}) = octet_length({own}), {bytewise}, {matched})"
     # The smaller end is held against one s-mer after the other, as most k-mers fail at the first ones.
     left, right = (" AND ".join(f"{end} <= v[i + {j}]" for j in range(1, last)) or "true" for end in ("v[i]", f"v[i + {last}]"))
     places = f"filter(sequence(0, size(v) - {last + 1}), i -> if(v[i] <= v[i + {last}], {left}, {right}))"
