@@ -1,11 +1,14 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import AWKWARD, documents
 from tidewatch.llm import jaccard
+from tidewatch.llm.batches import pieces
 from tidewatch.llm.components import connected
 from tidewatch.llm.jaccard import bands_used, bits_apart, empty_segments, keep_one, leading, likely, ngram_components, segments, signatures, sketch
 from tidewatch.llm.shingles import shingle_sets
@@ -177,3 +180,56 @@ def test_unlike_pairs_are_dropped_before_their_texts_are_read(spark):
     texts = spark.createDataFrame(rows, "h long, n long, sketch binary")
     pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
     assert [tuple(r) for r in likely(pairs, texts).collect()] == [(0, 1)]
+
+
+def group(rng, n, kinds, batches=10):
+    """Entries of one group, as `repeated_keys` packs them, and the same as (key, handle)."""
+    rows, packed = [], []
+    for _ in range(batches):
+        key = np.sort(rng.integers(0, kinds, n // batches).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        handle = rng.integers(-(2**40), 2**40, 300)[rng.integers(0, 300, len(key))]
+        rows += zip(key.view(np.int64).tolist(), handle.tolist(), strict=True)
+        packed.append(jaccard._packed(key, handle))
+    return pa.chunked_array([pa.array(packed[:4], pa.binary()), pa.array(packed[4:], pa.binary())]), rows
+
+
+def test_what_meets_in_a_group_equals_a_plain_count():
+    for n, kinds in ((2000, 500), (60, 1000), (60, 1), (0, 1)):
+        entries, rows = group(np.random.default_rng(n + kinds), n, kinds)
+        held = defaultdict(set)
+        for key, handle in rows:
+            held[key].add(handle)
+        want = sorted((k, h, min(v), len(v)) for k, v in held.items() if len(v) > 1 for h in v)
+        assert sorted(tuple(r.values()) for r in jaccard.keys_met(entries).to_pylist()) == want
+        root = {h: h for _, h, _, _ in want}
+
+        def top(h, root=root):
+            while root[h] != h:
+                h = root[h]
+            return h
+
+        for _, h, pivot, _ in want:
+            low, high = sorted((top(h), top(pivot)))
+            root[high] = low
+        assert {(r["a"], r["b"]) for r in jaccard.links_met(entries).to_pylist()} == {(h, top(h)) for h in root if top(h) != h}
+
+
+def test_a_full_group_takes_little_memory():
+    n = jaccard.GROUP_BYTES // 16
+    entries, _ = group(np.random.default_rng(7), n, n // 2)
+    for met in (jaccard.keys_met, jaccard.links_met):
+        tracemalloc.start()
+        met(entries)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80_000_000
+
+
+def test_only_the_rows_of_a_piece_become_objects():
+    batch = pa.RecordBatch.from_pydict({"text": [f"{i} " + "x" * 4000 for i in range(5000)]})
+    tracemalloc.start()
+    sizes = [sum(map(len, part["text"])) for part in pieces([batch], "text", 500_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert max(sizes) <= 500_000 and sum(sizes) > 20_000_000
+    assert peak < 5_000_000

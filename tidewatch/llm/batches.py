@@ -17,17 +17,21 @@ PIECE_CHARS = 1_500_000
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_CHARS) -> Iterator[dict[str, list]]:
     """Columns as lists, cut so that the texts of one piece stay near `limit`; a longer text is alone."""
+    for part in slices(batches, text, limit):
+        yield {name: part.column(name).to_pylist() for name in part.schema.names}
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
+    """The same pieces as batches. A slice copies nothing, so of a large batch only the rows at work become Python objects."""
     for batch in batches:
-        columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-        texts, start, held = columns[text], 0, 0
-        for i, value in enumerate(texts):
-            size = len(value) if value else 0
+        start, held = 0, 0
+        for i, size in enumerate(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()):
             if held and held + size > limit:
-                yield {k: v[start:i] for k, v in columns.items()}
+                yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
-        if start < len(texts):
-            yield {k: v[start:] for k, v in columns.items()}
+        if start < batch.num_rows:
+            yield batch.slice(start)
 
 
 def cuts(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:

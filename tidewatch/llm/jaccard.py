@@ -24,10 +24,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.batches import map_texts
+from tidewatch.llm.batches import map_texts, slices
 from tidewatch.llm.components import connected
 from tidewatch.llm.shingles import distinct, mixed, set_keys, shingle_sets
 from tidewatch.session import scratch_path
@@ -38,8 +39,8 @@ BANDS = tuple(4 << i for i in range(40))
 COMMON = 10
 #: Sets of one block when sets are compared in blocks.
 BLOCK = 400
-#: Bytes of index entries gathered in one group, and the least number of groups.
-GROUP_BYTES = 48_000_000
+#: Bytes of index entries gathered in one group, and the least number of groups. A worker needs about five times that.
+GROUP_BYTES = 12_000_000
 GROUPS = 256
 SECOND_GROUPS = 4
 BAND_BITS = 6
@@ -208,26 +209,42 @@ def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, cla
                 "entries": [_packed(key[a:b], handle[a:b]) for a, b in zip(cut, [*cut[1:], len(key)], strict=True)],
             }
 
-    def meet(table: pa.Table) -> pa.Table:
-        pairs = [_unpacked(e) for e in table["entries"].to_pylist()]
-        key, handle = np.concatenate([k for k, _ in pairs]), np.concatenate([h for _, h in pairs])
-        order = np.lexsort((handle, key))
-        key, handle = key[order], handle[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (handle[1:] != handle[:-1])
-        key, handle = key[fresh], handle[fresh]
-        run = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        count = np.diff(np.append(run, len(key)))
-        own, pivot = np.repeat(count, count), np.repeat(handle[run], count)
-        keep = own > 1
-        if second:
-            a, b = _forest(handle[keep], pivot[keep])
-            return pa.table({"a": a, "b": b})
-        cells = (key[keep].view(np.int64), handle[keep], pivot[keep], own[keep].astype(np.int64))
-        return pa.table(dict(zip(("sig", "h", "pivot", "c"), cells, strict=True)))
-
     packed = map_texts(texts.select(text), index, "part bigint, entries binary", text)
-    return packed.groupBy("part").applyInArrow(meet, "a bigint, b bigint" if second else "sig bigint, h bigint, pivot bigint, c bigint")
+    if second:
+        return packed.groupBy("part").applyInArrow(lambda table: links_met(table["entries"]), "a bigint, b bigint")
+    return packed.groupBy("part").applyInArrow(lambda table: keys_met(table["entries"]), "sig bigint, h bigint, pivot bigint, c bigint")
+
+
+def keys_met(entries: pa.ChunkedArray) -> pa.Table:
+    """sig, h, pivot, c of one group's entries; see `repeated_keys`."""
+    key, handle, pivot, own = _met(entries)
+    return pa.table({"sig": key.view(np.int64), "h": handle, "pivot": pivot, "c": own})
+
+
+def links_met(entries: pa.ChunkedArray) -> pa.Table:
+    """Links that connect the sets of every key of one group's entries. Families share keys by the hundred, so what they say
+    is made distinct first."""
+    a, b = _forest(*_distinct_pairs(*_met(entries)[1:3]))
+    return pa.table({"a": a, "b": b})
+
+
+def _met(entries: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """key, handle, first handle of the key and handles of the key, for keys of at least two handles."""
+    key, handle = _distinct_pairs(*_gathered(entries))
+    run = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.append(run, len(key)))
+    several = np.repeat(count > 1, count)
+    run, count = run[count > 1], count[count > 1]
+    return key[several], handle[several], np.repeat(handle[run], count), np.repeat(count, count)
+
+
+def _distinct_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, in order."""
+    order = np.lexsort((right, left))
+    left, right = left[order], right[order]
+    fresh = np.ones(len(left), bool)
+    fresh[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+    return left[fresh], right[fresh]
 
 
 def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,9 +271,14 @@ def _packed(key: np.ndarray, handle: np.ndarray) -> bytes:
     return np.stack([key, handle.view(np.uint64)]).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes()
 
 
-def _unpacked(entries: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(entries, np.uint8).reshape(2, 8, -1)
-    both = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(2, -1)
+def _gathered(entries: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and handles of all entries of a group, read from Arrow's memory into one array."""
+    both = np.empty((2, sum(pc.sum(pc.binary_length(c)).as_py() or 0 for c in entries.chunks) // 16), np.uint64)
+    planes, at = both.view(np.uint8).reshape(2, -1, 8), 0
+    for packed in entries:
+        own = np.frombuffer(packed.as_buffer(), np.uint8).reshape(2, 8, -1)
+        planes[:, at : at + own.shape[2]] = own.transpose(0, 2, 1)
+        at += own.shape[2]
     return both[0], both[1].view(np.int64)
 
 
@@ -296,7 +318,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         def shingles(text: str) -> np.ndarray:
             return shingle_sets([text])[0]
 
-        for batch in batches:
+        for batch in slices(batches, "text_a"):
             texts = zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)
             alike = pa.array([linked(shingles(x), shingles(y)) for x, y in texts], pa.bool_())
             yield batch.select(["a", "b"]).filter(alike)

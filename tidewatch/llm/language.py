@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.batches import map_texts, pieces
+from tidewatch.llm.batches import map_texts, pieces, slices
 
 #: Labelled documents per language that a model is fitted on; a hash of the row draws them.
 TRAIN_DOCS = 4000
@@ -270,12 +270,8 @@ def keep_identified(df: DataFrame, model: LanguageModel, least: float, text: str
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [
-                name != "und" and score >= least
-                for part in pieces([batch.select([text])], text)
-                for name, score, _ in label_texts(shared.value, part[text], switch)
-            ]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+        for batch in slices(batches, text):
+            found = label_texts(shared.value, batch.column(text).to_pylist(), switch)
+            yield batch.filter(pa.array([name != "und" and score >= least for name, score, _ in found], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
