@@ -39,7 +39,7 @@ BANDS = tuple(4 << i for i in range(40))
 COMMON = 10
 #: Sets of one block when sets are compared in blocks.
 BLOCK = 400
-#: Bytes of index entries gathered in one group, and the least number of groups. A worker needs about five times that.
+#: Bytes of index entries gathered in one group, and the least number of groups. A worker needs about four times that.
 GROUP_BYTES = 12_000_000
 GROUPS = 256
 SECOND_GROUPS = 4
