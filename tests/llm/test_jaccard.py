@@ -1,5 +1,7 @@
+import os
 import random
 import re
+import time
 import tracemalloc
 from collections import defaultdict
 
@@ -12,6 +14,7 @@ from tidewatch.llm.batches import pieces
 from tidewatch.llm.components import connected
 from tidewatch.llm.jaccard import bands_used, bits_apart, empty_segments, keep_one, leading, likely, ngram_components, segments, signatures, sketch
 from tidewatch.llm.shingles import shingle_sets
+from tidewatch.session import SHUFFLE_CLEANUP, scratch_path, shared_dir, stored
 
 
 def shingles(text):
@@ -233,3 +236,85 @@ def test_only_the_rows_of_a_piece_become_objects():
     tracemalloc.stop()
     assert max(sizes) <= 500_000 and sum(sizes) > 20_000_000
     assert peak < 5_000_000
+
+
+def test_unlike_sets_seldom_meet_in_the_second_index():
+    rng = np.random.default_rng(9)
+    for n in (18, 66, 130, 262, 520):
+        held = defaultdict(int)
+        for _ in range(150):
+            own = np.sort(rng.integers(0, 2**63, n, dtype=np.uint64))
+            for k in bands_used(n):
+                for key in signatures(own, k, True).tolist():
+                    held[key] += 1
+        assert sum(c > 1 for c in held.values()) <= 6
+
+
+def test_parts_of_a_band_cover_every_pair_that_may_link():
+    for n in [*range(4, 140), 255, 256, 257, 322, 323, 407, 511, 512]:
+        for larger in range(n, n * 5 // 4 + 1):
+            band = bands_used(n)[0]
+            assert band in bands_used(larger)
+            mine = next(k for k in range(jaccard.PARTS) if jaccard.part_end(band, k) > n)
+            assert mine in jaccard.parts_used(n, band) and mine in jaccard.parts_used(larger, band)
+
+
+def test_texts_of_a_cluster_are_moved_twice_while_a_block_holds_them(spark):
+    sets = spark.range(1500).selectExpr("id AS h", "'some text' AS text")
+    apart = spark.range(1500).selectExpr("id AS h", "200 + id % 40 AS n", "id AS root", "0L AS cluster")
+    assert jaccard.dealt(sets, apart).count() <= 2 * 1500
+    assert jaccard.dealt(sets, apart.selectExpr("h", "n", "0L AS root", "cluster")).count() == 0
+    # A block has as many elements as a worker can hold, whatever the sets' sizes.
+    large = jaccard.dealt(sets.where("h < 90"), apart.where("h < 90").selectExpr("h", "20000L AS n", "root", "cluster"))
+    assert max(r["count"] for r in large.groupBy("class", "low", "high").count().collect()) < 80
+
+
+def test_a_crowded_cluster_is_split_by_another_partition(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    rng = random.Random(12)
+    texts = []
+    for i in range(60):  # every text shares four shingles with the next one
+        words = [f"w{i}_{j}" for j in range(100)]
+        texts.append(" ".join([f"s{i}_{j}" for j in range(8)] + words + [f"s{i + 1}_{j}" for j in range(8)]))
+    like = family(rng, 100, 30, 0.04)
+    rows = [(i, len(shingles(t)), t) for i, t in enumerate(texts + like)]
+    handles = [jaccard.handle_of(shingle_sets([t])[0], frozenset())[0] for _, _, t in rows]
+    second = spark.createDataFrame([(h, n, t) for h, (_, n, t) in zip(handles, rows, strict=True)], "h long, n long, text string").distinct()
+    turns = []
+
+    def kept(df, label):
+        turns.append(label)
+        return stored(df, scratch_path(spark, label))
+
+    roots = spark.createDataFrame([], "h long, root long")
+    got = {r["h"]: r["cluster"] for r in jaccard.clustered(second, roots, kept, frozenset()).collect()}
+    assert "clusters-1" in turns
+    assert len({got[h] for h in set(handles[60:])}) == 1  # the family stays together
+    assert sum(got.get(h) == got[handles[60]] for h in handles[:60]) == 0
+
+
+def shuffle_files(spark):
+    top = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in top for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_stored_table_go_with_its_write(spark):
+    before = shuffle_files(spark)
+    got = stored(spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count(), scratch_path(spark, "stored-test"))
+    limit = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < limit:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert got.count() == 10
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
+def test_work_tables_that_the_result_does_not_read_are_removed(spark):
+    top = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    rng = random.Random(14)
+    rows = list(enumerate(family(rng, 40, 30, 0.1)))
+    got = ngram_components(documents(spark, rows))
+    kinds = {re.sub("-[0-9a-f]{32}$", "", f) for f in set(os.listdir(top)) - before}
+    assert {"ngram-sets", "ngram-distinct", "ngram-components"} <= kinds <= {"ngram-sets", "ngram-distinct", "ngram-components", "labels"}
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)

@@ -10,7 +10,10 @@ than it finds, so it gets nothing; the slack pays for that. All others get their
 skip more than their slack go to a second index with half as many, longer segments, each with its content and its
 one-deletion neighbourhood (so each such segment counts twice in the pigeonhole). These sets are mostly the near-copy
 families that hold each other's segments by the hundred: sets that meet in the second index form clusters, and those of a
-cluster are compared in blocks of like sizes, after a bound from the number of segments that differ.
+cluster are compared in blocks of like sizes, after a bound from the number of segments that differ. Chance meetings chain
+sets of no family into large clusters, the more the larger the table: the bands of the second index are narrow, so that few
+segments are empty, and what is left of a crowded cluster is indexed once more among its own sets, under another partition of
+the universe, until that splits it no further.
 
 A pair that the index finds is held against the parity sketches of both sets first: sets that differ in d elements have
 sketches that differ in at most d bits, so what differs in more bits than a link may in elements is dropped, and only the
@@ -19,8 +22,10 @@ texts of the rest are read. Equal sets are merged first, and a pair that is alre
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +36,19 @@ from pyspark.sql import functions as F
 from tidewatch.llm.batches import map_texts, slices
 from tidewatch.llm.components import connected
 from tidewatch.llm.shingles import distinct, mixed, set_keys, shingle_sets
-from tidewatch.session import scratch_path
+from tidewatch.session import discard, scratch_path, stored
 
 #: Lower ends of the size bands: they double. Sets of fewer than four elements have no partners but equal ones.
 BANDS = tuple(4 << i for i in range(40))
 #: A segment content that more sets hold is common.
 COMMON = 10
-#: Sets of one block when sets are compared in blocks.
-BLOCK = 400
+#: Sets of one block when sets are compared in blocks, and its elements: a worker holds the texts of two.
+BLOCK = 2000
+BLOCK_ELEMENTS = 500_000
+#: Bands of the second index in one band of the first.
+PARTS = 3
+#: Index keys of the second index for an element, about.
+SECOND_KEYS = 3
 #: Bytes of index entries gathered in one group, and the least number of groups. A worker needs about four times that.
 GROUP_BYTES = 12_000_000
 GROUPS = 256
@@ -68,12 +78,23 @@ def band_of(n: int) -> int:
     return int(n // 4).bit_length() - 1
 
 
-def segments(shingles: np.ndarray, band: int, second: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """(content hash, number of elements, segments used) for the leading segments of a set under the scheme of a band."""
+def part_end(band: int, part: int) -> int:
+    """The size at which a part of a band ends; the parts are the bands of the second index."""
+    return math.ceil(BANDS[band] * 2 ** ((part + 1) / PARTS))
+
+
+def parts_used(n: int, band: int) -> list[int]:
+    """The parts of a band that hold the size of a set or that of a smaller partner."""
+    return [k for k in range(PARTS) if part_end(band, k - 1) <= n and 5 * part_end(band, k) > 4 * n]
+
+
+def segments(shingles: np.ndarray, band: int, second: bool, part: int = PARTS - 1, salt: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
+    """(content hash, number of elements, segments used) for the leading segments of a set under the scheme of a band, in the
+    second index that of a part of it."""
     width = leading_pairs if second else leading
-    top = width(2 * BANDS[band])
+    top = width(part_end(band, part) if second else 2 * BANDS[band])
     used = min(width(len(shingles)), top)
-    place = (mixed(shingles, 101 + second) % np.uint64(top)).astype(np.int64)
+    place = (mixed(shingles, 101 + second + salt) % np.uint64(top)).astype(np.int64)
     content, size = np.zeros(top, np.uint64), np.bincount(place, minlength=top)
     with np.errstate(over="ignore"):
         np.add.at(content, place, mixed(shingles, 103))
@@ -103,29 +124,31 @@ def bits_apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(small ^ large).sum())
 
 
-def signatures(shingles: np.ndarray, band: int, second: bool) -> np.ndarray:
+def signatures(shingles: np.ndarray, band: int, second: bool, salt: int = 0) -> np.ndarray:
     """Index keys of a set under a band, with the band in the low bits: the content of its segments that are not empty, in
-    the second index with every one-deletion content.
+    the second index with every one-deletion content, under each part of the band. `salt` chooses the partition.
 
     What is empty, or becomes so by a deletion, is a key in the second index only when a set has more such segments than
     the slack of its least partner: otherwise some other segment of the pair agrees as well.
     """
-    content, size, used = segments(shingles, band, second)
-    numbers, filled = np.arange(used, dtype=np.uint64), size > 0
-    if second:
-        top = leading_pairs(2 * BANDS[band])
-        place = mixed(shingles, 102) % np.uint64(top)
-        mine = place < used
-        with np.errstate(over="ignore"):
-            less = content[place[mine].astype(np.int64)] - mixed(shingles[mine], 103)
-        left = size[place[mine].astype(np.int64)] > 1
-        if int((size < 2).sum()) > slack_pairs(-(-4 * len(shingles) // 5)):
-            filled[:], left[:] = True, True
-        content, numbers = np.concatenate([content[filled], less[left]]), np.concatenate([numbers[filled], place[mine][left]])
-    else:
-        content, numbers = content[filled], numbers[filled]
-    keys = mixed(mixed(content, 104) + numbers, 105 + second)
-    return distinct((keys & ~np.uint64((1 << BAND_BITS) - 1)) | np.uint64(band))
+    keys = []
+    for part in parts_used(len(shingles), band) if second else [0]:
+        content, size, used = segments(shingles, band, second, part, salt)
+        numbers, filled = np.arange(used, dtype=np.uint64), size > 0
+        if second:
+            place = mixed(shingles, 102 + salt) % np.uint64(leading_pairs(part_end(band, part)))
+            mine = place < used
+            with np.errstate(over="ignore"):
+                less = content[place[mine].astype(np.int64)] - mixed(shingles[mine], 103)
+            left = size[place[mine].astype(np.int64)] > 1
+            if int((size < 2).sum()) > slack_pairs(-(-4 * len(shingles) // 5)):
+                filled[:], left[:] = True, True
+            content, numbers = np.concatenate([content[filled], less[left]]), np.concatenate([numbers[filled], place[mine][left]])
+        else:
+            content, numbers = content[filled], numbers[filled]
+        keys.append(mixed(mixed(content, 104) + numbers, 105 + second + (part << 8) + salt))
+    key = np.concatenate(keys)
+    return distinct((key & ~np.uint64((1 << BAND_BITS) - 1)) | np.uint64(band))
 
 
 def bands_used(n: int) -> list[int]:
@@ -181,21 +204,21 @@ def text_key(text: str) -> F.Column:
 ALLOWANCE = "3 + ceil(n * 4 / 5) div 10"
 
 
-def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, clashes: frozenset[int]) -> DataFrame:
+def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, clashes: frozenset[int], salt: int = 0) -> DataFrame:
     """sig, h, pivot (the first set of the key), c (its sets): the index keys that at least two different sets have. Entries
     are packed per group of keys, sets that are equal within a batch enter once. Of the second index, links (a, b) that
-    connect the sets of every key of a group: what meets there is compared in blocks anyway."""
+    connect the sets of one `cluster` that have a key of a group: what meets there is compared in blocks anyway."""
     groups = max(SECOND_GROUPS if second else GROUPS, -(-size_hint * 16 // GROUP_BYTES))
 
     def index(parts: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for part in parts:
             keys, handles, seen = [], [], set()
-            for s in shingle_sets(part[text]):
+            for s, cluster in zip(shingle_sets(part[text]), part.get("cluster", repeat(0)), strict=False):
                 if len(s) < 4 or (h := handle_of(s, clashes)[0]) in seen:
                     continue
                 seen.add(h)
-                own = np.concatenate([signatures(s, b, second) for b in bands_used(len(s))])
-                keys.append(own)
+                own = np.concatenate([signatures(s, b, second, salt) for b in bands_used(len(s))])
+                keys.append(mixed(own, cluster) if second else own)
                 handles.append(np.full(len(own), h, np.int64))
             if not keys:
                 continue
@@ -209,7 +232,7 @@ def repeated_keys(texts: DataFrame, text: str, second: bool, size_hint: int, cla
                 "entries": [_packed(key[a:b], handle[a:b]) for a, b in zip(cut, [*cut[1:], len(key)], strict=True)],
             }
 
-    packed = map_texts(texts.select(text), index, "part bigint, entries binary", text)
+    packed = map_texts(texts.select(text, *(["cluster"] if second else [])), index, "part bigint, entries binary", text)
     if second:
         return packed.groupBy("part").applyInArrow(lambda table: links_met(table["entries"]), "a bigint, b bigint")
     return packed.groupBy("part").applyInArrow(lambda table: keys_met(table["entries"]), "sig bigint, h bigint, pivot bigint, c bigint")
@@ -366,20 +389,52 @@ def short_of_slack(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return common.join(sets, "h").where(skipped > F.expr(ALLOWANCE)).select("h").distinct()
 
 
-def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links between sets of one cluster. Sizes are put into classes a quarter apart, so links are within a class or with the
-    next one; the sets of a class and the next are cut into blocks, and each block meets every other once. Only links that
-    connect what was apart come out: at most one less than a pair of blocks has sets."""
-    rows = texts.join(clusters, "h").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+def clustered(second: DataFrame, roots: DataFrame, stored: Callable[[DataFrame, str], DataFrame], clashes: frozenset[int]) -> DataFrame:
+    """h, n, root, cluster: the sets of `second` (h, n, text) that meet others in the second index. Linked sets meet under every
+    partition of the universe, so clusters of more than a block are split by another one, until a turn leaves more than
+    half of their sets in such clusters."""
+    rooted = second.select("h", "n").join(roots, "h", "left").select("h", "n", F.coalesce("root", "h").alias("root"))
+    crowd, done, before = rooted.withColumn("cluster", F.lit(0).cast("bigint")), [], None
+    for turn in count():
+        sums = [F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("sets")]
+        size, sets = crowd.agg(*sums).first()
+        if not sets or before and 2 * sets > before:
+            break
+        before = sets
+        texts = second.join(crowd.select("h", "cluster"), "h") if turn else second.withColumn("cluster", F.lit(0).cast("bigint"))
+        near = stored(repeated_keys(texts, "text", True, SECOND_KEYS * size, clashes, turn << 16).distinct(), f"near-{turn}")
+        found = stored(crowd.drop("cluster").join(connected(near).select("h", F.col("root").alias("cluster")), "h"), f"clusters-{turn}")
+        sizes = found.groupBy("cluster").agg(F.count("*").alias("sets"), (F.min("root") < F.max("root")).alias("apart"))
+        found = found.join(sizes.where("apart"), "cluster")
+        done.append(found.where(F.col("sets") <= BLOCK).drop("sets", "apart"))
+        crowd = found.where(F.col("sets") > BLOCK).drop("sets", "apart")
+    for part in done:
+        crowd = crowd.unionByName(part)
+    return crowd
+
+
+def dealt(second: DataFrame, clusters: DataFrame) -> DataFrame:
+    """cluster, class, low, high (a pair of blocks), own, block, h, root, text: the sets of a cluster as `in_blocks` compares
+    them. Sizes are put into classes a quarter apart, so links are within a class or with the next one; the sets of a class
+    and the next are cut into blocks, and each block meets every other once. A text is there once for every block of its
+    class, so a block is as large as a worker can hold; classes that cannot have a new link are left out."""
     own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    rows = rows.withColumn("own", own).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") - 1)))
-    counts = rows.groupBy("cluster", "class").agg(F.count("*").alias("members"))
-    rows = rows.join(counts, ["cluster", "class"]).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    rows = clusters.withColumn("own", own).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") - 1)))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
+    meeting = F.bool_or(F.col("own") == F.col("class")) & (F.min("root") < F.max("root"))
+    counts = rows.groupBy("cluster", "class").agg(blocks, meeting.alias("meeting")).where("meeting")
+    rows = rows.join(counts, ["cluster", "class"])
     rows = rows.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
     # Block i meets j >= i: a set goes to all pairs of blocks that hold its own.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = rows.select("cluster", "class", "own", "block", "h", "n", "root", "text", other.alias("other"))
-    spread = spread.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    spread = rows.select("cluster", "class", "own", "block", "h", "root", other.alias("other"))
+    spread = spread.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
+    return second.select("h", "text").join(spread, "h")
+
+
+def in_blocks(second: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Links between sets of one cluster. Only links that connect what was apart come out: at most one less than a pair of
+    blocks has sets."""
 
     def meet(table: pa.Table) -> pa.Table:
         a, b = [], []
@@ -417,7 +472,7 @@ def in_blocks(texts: DataFrame, clusters: DataFrame, roots: DataFrame) -> DataFr
                     group[group == other] = mine
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("cluster", "class", "low", "high").applyInArrow(meet, "a bigint, b bigint")
+    return dealt(second, clusters).groupBy("cluster", "class", "low", "high").applyInArrow(meet, "a bigint, b bigint")
 
 
 def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", keep_key: bool = False) -> DataFrame:
@@ -427,51 +482,50 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", ke
     Two documents link when 100 * intersection >= 80 * union of their sets of five-word shingles. Null or empty texts, and
     texts without words, have no shingles and are linked with nothing. Rows with a null id take part and are never the least
     one unless all are null; repeated rows each give a row; an empty table gives none; other columns are not read. Work
-    tables lie in the shared folder. Sets are told apart by 128-bit hashes.
+    tables lie in the shared folder; those that the result does not read are removed. Sets are told apart by 128-bit hashes.
     """
     spark = docs.sparkSession
 
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(spark, f"ngram-{label}")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+    paths: dict[str, str] = {}
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        paths[label] = scratch_path(spark, f"ngram-{label}")
+        return stored(df, paths[label])
 
     clashes: frozenset[int] = frozenset()
     while True:
-        base = stored(described(docs, id, text, clashes), "sets")
+        base = kept(described(docs, id, text, clashes), "sets")
         columns = [F.max(c).alias(c) for c in ("n", "band", "empty", "empty_below", "sketch")]
         same = [F.min("doc").alias("least"), F.min("set").alias("set"), F.max("set").alias("other"), F.min("key").alias("key"), *columns]
-        sets = stored(base.where("h IS NOT NULL").groupBy("h").agg(*same), "distinct")
+        sets = kept(base.where("h IS NOT NULL").groupBy("h").agg(*same), "distinct")
         # Two sets in 2^64: none, or a handful in the largest tables.
         found = {r["h"] for r in sets.where("set <> other").select("h").collect()}
         if not found:
             break
         clashes |= found
     held = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    keys = stored(repeated_keys(docs, text, False, held // 2, clashes), "keys")
+    keys = kept(repeated_keys(docs, text, False, held // 2, clashes), "keys")
     sparse = sets.where(f"greatest(empty, empty_below) > {ALLOWANCE}").select("h")
-    texts = stored(texts_of(docs, text, keys.select("h").union(sparse).distinct(), sets), "texts")
+    texts = kept(texts_of(docs, text, keys.select("h").union(sparse).distinct(), sets), "texts")
 
     def checked(pairs: DataFrame, label: str) -> DataFrame:
-        return stored(verified(stored(likely(pairs, texts), f"likely-{label}"), texts), label)
+        return kept(verified(kept(likely(pairs, texts), f"likely-{label}"), texts), label)
 
     star = checked(best_pivots(keys), "star")
-    roots = stored(connected(star), "roots")
-    waiting = stored(open_keys(keys, roots), "open")
+    roots = kept(connected(star), "roots")
+    waiting = kept(open_keys(keys, roots), "open")
     links = [star, checked(pairs_within(waiting, sets), "pairs")]
 
     short = short_of_slack(waiting, sets).union(sparse).distinct()
-    second = stored(texts.select("h", "n", "text").join(short, "h", "left_semi"), "short")
-    size = second.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    if size:
-        near = stored(repeated_keys(second, "text", True, 2 * size, clashes).distinct(), "near")
-        clusters = connected(near)
-        clusters = stored(clusters.select("h", F.col("root").alias("cluster")), "clusters")
-        links.append(stored(in_blocks(second, clusters, roots), "blocks"))
+    second = kept(texts.select("h", "n", "text").join(short, "h", "left_semi"), "short")
+    if not second.isEmpty():
+        clusters = kept(clustered(second, roots, kept, clashes), "clusters")
+        links.append(kept(in_blocks(second, clusters), "blocks"))
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionByName(more)
-    final = stored(connected(edges), "components")
+    final = kept(connected(edges), "components")
+    discard(spark, [path for label, path in paths.items() if label not in ("sets", "distinct", "components")])
     member = sets.join(final, "h", "left").select("h", "n", "least", F.coalesce("root", "h").alias("root"))
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(smallest, "root").select("h", "component_id")

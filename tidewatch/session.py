@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Whether shuffle files go when the write or query that made them ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(name: str = "tidewatch", master: str | None = None, **conf) -> SparkSession:
@@ -61,6 +64,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Written to `path` and read from there. The shuffle files of the write go when it ends; else they stay until the driver
+    happens to collect its garbage, and the larger the table, the more of them lie beside each other."""
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Removes work tables below the shared folder that nothing reads any more."""
+    for path in paths:
+        there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Materialise a small derived table once, on reliable storage, and cut its lineage."""
     shared_dir(df.sparkSession)
